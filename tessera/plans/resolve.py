@@ -9,7 +9,7 @@ from tessera.functions.text import truthy
 from tessera.operators.components import components, value_links
 from tessera.operators.keyed import first_per_key, spread_group
 from tessera.operators.melt import link_columns, melt
-from tessera.schema import FLAT_GROUPS, IDENTIFYING_KEYS, column
+from tessera.schema import FIELD_OF, FLAT_GROUPS, IDENTIFYING_KEYS, column
 
 
 def any_key_matches(
@@ -67,13 +67,13 @@ def group_records(
 ) -> DataFrame:
     """One merged record per cluster: for each field the latest value, by ``record_id``.
 
-    ``present`` names an array column of the fields a record has; a field in it may be null
-    and then overwrites. Without it, a null field counts as absent.
+    ``present`` names an array column of the message fields a record has; a field in it may be
+    null and then overwrites. Without it, a null field counts as absent.
     """
     grouped = records.join(clusters(records, record_id, keys, link_mode), record_id)
 
     def has(f: str):
-        return F.array_contains(present, f) if present else F.col(f).isNotNull()
+        return F.array_contains(present, FIELD_OF.get(f, f)) if present else F.col(f).isNotNull()
 
     return grouped.groupBy("component").agg(
         F.count(F.lit(1)).alias("records"),

@@ -79,3 +79,6 @@ def column(field: str) -> str:
 def all_fields() -> list[str]:
     """Every known field once, in the order of the fragments."""
     return list(dict.fromkeys(f for fields in FRAGMENT_FIELDS.values() for f in fields))
+
+
+FIELD_OF = {column(f): f for f in all_fields()}
