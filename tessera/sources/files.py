@@ -23,9 +23,12 @@ def write_csv(people: DataFrame, path: str) -> list[str]:
     """Flat people with a header; columns without any value are left out. Returns the header."""
     flat = flatten(people)
     header = filled_columns(flat)
-    flat.select(*[f"`{c}`" for c in header]).write.mode("overwrite").option("header", True).option(
-        "escape", '"'
-    ).csv(path)
+    (
+        flat.select(*[f"`{c}`" for c in header]).write.mode("overwrite")
+        .option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return header
 
 
