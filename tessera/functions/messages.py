@@ -8,20 +8,33 @@ from pyspark.sql import functions as F
 from tessera import schema
 
 
-def decoded(value: Column) -> Column:
-    """The message as a variant; null where it is not a JSON object."""
-    doc = F.try_parse_json(value)
-    return F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc)
-
-
-def key_set(value: Column) -> Column:
-    """The lower-cased keys of a message."""
-    return F.transform(F.json_object_keys(value), F.lower)
+def parsed(value: Column) -> Column:
+    """An array with one struct ``(doc, present, keys)``, to be inlined as a row: the message as a
+    variant, its keys, and its keys in lower case; all null unless it is a JSON object.
+
+    Inlining, unlike a projection, is never merged into the expressions that use its result, so a
+    message is parsed once however often its parts are used.
+    """
+    whole = F.transform(
+        F.array(F.try_parse_json(value)),
+        lambda doc: F.struct(
+            doc.alias("doc"),
+            F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>")).alias("present"),
+        ),
+    )
+    return F.transform(
+        whole,
+        lambda m: F.struct(
+            F.when(m["present"].isNotNull(), m["doc"]).alias("doc"),
+            m["present"].alias("present"),
+            F.transform(m["present"], F.lower).alias("keys"),
+        ),
+    )
 
 
-def fragment_type(value: Column) -> Column:
-    """Which raw collection a message belongs to; the first rule that fits wins."""
-    keys = key_set(value)
+def fragment_type(keys: Column) -> Column:
+    """Which raw collection a message with these lower-cased keys belongs to; the first rule that
+    fits wins."""
 
     def has(name: str) -> Column:
         return F.array_contains(keys, name)
@@ -54,11 +67,6 @@ def field(doc: Column, name: str) -> Column:
     return F.when(listed, F.try_variant_get(doc, f"{_at(name)}[0]", "string")).otherwise(text)
 
 
-def has_field(doc: Column, name: str) -> Column:
-    """The key is present, be its value null or not."""
-    return F.variant_get(doc, _at(name), "variant").isNotNull()
-
-
 def byte_size(value: Column) -> Column:
     return F.octet_length(value)
 

@@ -56,7 +56,6 @@ def decode(messages: DataFrame) -> DataFrame:
     """
     doc = F.col("doc")
     fields = {schema.column(f): m.field(doc, f) for f in schema.all_fields()}
-    kind = F.when(doc.isNotNull(), m.fragment_type(F.col("value")))
     keyless = F.coalesce(
         *[
             F.when(F.col("fragment_type") == t, F.col(schema.column(k)).isNull())
@@ -65,16 +64,15 @@ def decode(messages: DataFrame) -> DataFrame:
         F.lit(False),
     )
     return (
-        messages.withColumn("doc", m.decoded(F.col("value")))
+        messages.select("*", F.inline(m.parsed(F.col("value"))))
         .withColumns(
             {
-                "fragment_type": kind,
+                "fragment_type": F.when(doc.isNotNull(), m.fragment_type(F.col("keys"))),
                 "fingerprint": m.fingerprint(doc),
-                "present": F.when(doc.isNotNull(), F.json_object_keys("value")),
                 **fields,
             }
         )
-        .drop("doc")
+        .drop("doc", "keys")
         .withColumn(
             "reason",
             F.when(F.col("fragment_type").isNull(), "not a JSON object").when(keyless, "no key"),
