@@ -5,25 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import scratch
 from tessera.operators.keyed import spread_group
 
-# Characters of a word that decide whether it is worth cutting out of a text.
-PREFIX = 3
+# Rows of the prefix table that every task may hold, and the longest prefix it is tried with.
+PREFIX_ROWS = 500_000
+LONGEST_PREFIX = 6
+
+
+def _prefix_length(vocabulary: DataFrame, prefix_rows: int) -> int:
+    """The longest prefix with at most ``prefix_rows`` different values; one row of counts."""
+    sizes = range(1, LONGEST_PREFIX + 1)
+    counts = vocabulary.agg(
+        *[F.approx_count_distinct(F.substring("word", 1, k)).alias(str(k)) for k in sizes]
+    ).first()
+    return max((k for k in sizes if counts[str(k)] <= prefix_rows), default=1)
 
 
 def first_containing(
-    pairs: DataFrame, texts: DataFrame, order: str, prefix: int = PREFIX
+    pairs: DataFrame, texts: DataFrame, order: str, prefix_rows: int = PREFIX_ROWS
 ) -> DataFrame:
     """For each distinct ``(a, b)`` of ``pairs``, the least ``order`` among the rows of ``texts``
     whose ``text`` contains ``a`` and ``b``. Pairs without such a text are left out.
 
     Both words must be in the form in which they are searched. An empty word is in every text.
 
-    1. The vocabulary holds each word once; the prefix table holds, per leading characters, the
-       lengths of the words that begin so.
-    2. Each text yields its short substrings; a hit in the prefix table tells which longer
-       substrings to cut there, and only those meet the vocabulary, by equality.
-    3. The words found in one text are paired with each other, and the first text per pair is
+    1. The vocabulary holds each word once. It is written, as it is read three times.
+    2. The prefix table holds, per leading characters, the lengths of the words that begin so. The
+       prefix is as long as a table of bounded size allows, so that it can be broadcast.
+    3. Each text yields its short substrings; a hit in the prefix table tells which longer
+       substrings to cut there. Only those are shuffled, to meet the vocabulary by equality.
+    4. The words found in one text are paired with each other, and the first text per pair is
        a plain minimum.
 
     Work per text depends on its length alone: a word that is in a third of all texts
@@ -37,15 +49,17 @@ def first_containing(
             )
         ).alias("w")
     ).select("w.word", "w.is_a")
-    vocabulary = spread_group(
-        words, ["word"], F.max("is_a").alias("is_a"), F.max(~F.col("is_a")).alias("is_b")
-    )
-    prefixes = spread_group(
-        vocabulary.select(
-            F.substring("word", 1, prefix).alias("gram"), F.length("word").alias("word_length")
+    vocabulary = scratch.materialise(
+        words.groupBy("word").agg(
+            F.max("is_a").alias("is_a"), F.max(~F.col("is_a")).alias("is_b")
         ),
-        ["gram"],
-        F.collect_set("word_length").alias("lengths"),
+        "vocabulary",
+    )
+    prefix = _prefix_length(vocabulary, prefix_rows)
+    prefixes = F.broadcast(
+        vocabulary.groupBy(F.substring("word", 1, prefix).alias("gram")).agg(
+            F.collect_set(F.length("word")).alias("lengths")
+        )
     )
 
     distinct_texts = texts.where(F.col("text") != "").groupBy("text").agg(F.min(order).alias("first"))
