@@ -96,9 +96,11 @@ _STEPS: list[tuple[str, str]] = [
         FROM claims LEFT JOIN locations USING (address, city) WHERE claim = 1"""),
     ("bank_data", """SELECT row_number() OVER (ORDER BY ord) AS bank_id, passport AS passport_fk,
         IBAN AS iban, salary FROM claims WHERE claim = 1"""),
+    ("nets", """SELECT *, row_number() OVER (PARTITION BY IPv4 ORDER BY ord) AS net_claim
+        FROM claims WHERE claim = 1"""),
     ("network_data", """SELECT row_number() OVER (ORDER BY ord) AS network_id,
         passport AS passport_fk, location_id AS location_id_fk, IPv4 AS ip_address
-        FROM claims LEFT JOIN locations USING (address, city) WHERE claim = 1"""),
+        FROM nets LEFT JOIN locations USING (address, city) WHERE net_claim = 1"""),
     ("professional_data", """SELECT row_number() OVER (ORDER BY ord) AS professional_id,
         passport AS passport_fk, company AS company_name, company_address,
         company_telfnumber AS company_phone_number, company_email, job AS job_title
@@ -219,7 +221,9 @@ _FLAT = ", ".join(
 _REJECTED = """SELECT 'persons' AS target, ord, passport, 'duplicate email' AS violated
       FROM claims WHERE claim > 1
     UNION ALL SELECT t.target, ord, passport, 'unknown person' FROM claims,
-      (VALUES ('bank_data'), ('network_data'), ('professional_data')) t(target) WHERE claim > 1"""
+      (VALUES ('bank_data'), ('network_data'), ('professional_data')) t(target) WHERE claim > 1
+    UNION ALL SELECT 'network_data', ord, passport, 'duplicate ip_address'
+      FROM nets WHERE net_claim > 1"""
 
 # Persons stored by an earlier load: other passports for the first of each pair of customers
 # and a mail address that a new person wants as well.

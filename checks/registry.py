@@ -22,6 +22,9 @@ from tessera.streaming.dedup import ttl_dedup_stream
 STRONG_KEYS = ["passport", "email", "fullname", "telfnumber", "address"]
 FIELDS = raw.FIELDS
 
+# A test has few shuffle partitions, and so few buckets.
+LOCAL_BUCKETS = 64
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -205,10 +208,12 @@ def ttl_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = ttl_dedup_stream(
-        _event_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "event_id"
+    events = _event_stream(spark, sf_dir).select(
+        "event_id", "ts", "user_id", "event_type",
+        F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key"),
     )
-    return _accepted_events(_drain(stream, "accepted-events"))
+    accepted = ttl_dedup_stream(events, "key", "ts", "event_id", buckets=LOCAL_BUCKETS)
+    return _accepted_events(_drain(accepted, "accepted-events"))
 
 
 def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +222,8 @@ def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch.new_path(spark, "store")
     spark_view(spark, sf_dir, "fx_messages").write.parquet(incoming)
     ingest.ingest(
-        messages.file_messages(spark, incoming), store, scratch.new_path(spark, "checkpoint")
+        messages.file_messages(spark, incoming), store, scratch.new_path(spark, "checkpoint"),
+        buckets=LOCAL_BUCKETS,
     ).awaitTermination()
     return raw.collections(spark, f"{store}/fragments")["personal"]
 

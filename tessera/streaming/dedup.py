@@ -1,65 +1,102 @@
 """Stateful dedup: a message is accepted unless its like was accepted in the last 24 hours.
 
 The clock is the time of ingestion, so a replay accepts the same messages. A refused repeat
-does not renew the block. State is one timestamp per fingerprint and goes when it expires.
+does not renew the block. State is one time per accepted key, and goes when it no longer blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from tessera.schema import DEDUP_SECONDS
 
 LATENESS = "1 hour"
 
+# Groups of keys that share one call per batch; fixed for the life of a checkpoint. Enough of them
+# spread evenly over the shuffle partitions and hold some ten thousand live keys each.
+BUCKETS = 4096
+
+_BUCKET = "__bucket"
+_AT = "__at"
+_NEVER = np.iinfo(np.int64).min // 2
+
 
 class TtlDedup(StatefulProcessor):
-    """Holds the time of the last accepted row of a key, until it no longer blocks."""
+    """Per bucket of keys, what each batch accepted: the keys and their times in microseconds.
 
-    def __init__(self, ts: str, order: str, ttl_seconds: int):
-        self._ts, self._order = ts, order
-        self._ttl = pd.Timedelta(seconds=ttl_seconds)
+    One state row per bucket and batch keeps calls to the state store few; a row per key would
+    make them the main cost.
+    """
+
+    def __init__(self, key: str, ts: str, order: str, ttl_seconds: int, columns: list[str]):
+        self._key, self._ts, self._order = key, ts, order
+        self._ttl, self._columns = ttl_seconds * 1_000_000, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._last = handle.getValueState("last", "at TIMESTAMP")
+        self._accepted = handle.getListState("accepted", "keys ARRAY<STRING>, at ARRAY<BIGINT>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(self._last.get()[0]) if self._last.exists() else None
-        # Rows of a key come in chunks and in no order; what cannot be accepted is dropped chunk by
-        # chunk, so that a hot key does not pile up.
+        last: dict[str, int] = {}
+        for keys, at in self._accepted.get():
+            last.update(zip(keys, at))
+        # Rows come in chunks and in no order; what cannot be accepted is dropped chunk by chunk, so
+        # that a hot key does not pile up.
         batch = pd.DataFrame()
         for chunk in rows:
-            batch = self._possible(pd.concat([batch, chunk]), last)
+            at = chunk[self._ts].astype("datetime64[us]").astype("int64")
+            batch = self._possible(pd.concat([batch, chunk.assign(**{_AT: at})]), last)
+        accepted = batch[self._take(batch, last)]
+        if len(accepted):
+            newest = accepted.groupby(self._key)[_AT].max()
+            self._accepted.appendList([(newest.index.tolist(), newest.tolist())])
+            if next(iter(self._handle.listTimers()), None) is None:
+                self._expire_at(int(newest.min()) + self._ttl)
+            yield accepted[self._columns]
+
+    def _since(self, rows: pd.DataFrame, last: dict[str, int]) -> pd.Series:
+        """Time since the last accepted row of the same key."""
+        return rows[_AT] - rows[self._key].map(last).fillna(_NEVER).astype("int64")
+
+    def _possible(self, rows: pd.DataFrame, last: dict[str, int]) -> pd.DataFrame:
+        """The rows that may be accepted, in order: of each key and time the first, and of the
+        times that the last accepted row bears on only the first that it does not block."""
+        rows = rows[self._since(rows, last) >= self._ttl]
+        rows = rows.sort_values([self._key, _AT, self._order])
+        rows = rows.drop_duplicates([self._key, _AT])
+        near = self._since(rows, last) < 2 * self._ttl
+        return rows[~(near & rows.duplicated(self._key))]
+
+    def _take(self, rows: pd.DataFrame, last: dict[str, int]) -> list[bool]:
         taken = []
-        for place, at in enumerate(batch[self._ts]):
-            if last is None or at - last >= self._ttl:
-                taken.append(place)
-                last = at
-        if taken:
-            for timer in self._handle.listTimers():
-                self._handle.deleteTimer(timer)
-            self._last.update((last.to_pydatetime(),))
-            self._handle.registerTimer(int((last + self._ttl).timestamp() * 1000) + 1)
-            yield batch.iloc[taken]
-
-    def _possible(self, rows: pd.DataFrame, last: pd.Timestamp | None) -> pd.DataFrame:
-        """Of each time the first row; of the times that the last accepted row still bears on, only
-        the first that it does not block."""
-        rows = rows.sort_values([self._ts, self._order]).drop_duplicates(self._ts)
-        if last is None:
-            return rows
-        rows = rows[rows[self._ts] - last >= self._ttl]
-        near = rows[self._ts] - last < 2 * self._ttl
-        return pd.concat([rows[near].head(1), rows[~near]])
+        for key, at in zip(rows[self._key], rows[_AT]):
+            free = at - last.get(key, _NEVER) >= self._ttl
+            if free:
+                last[key] = at
+            taken.append(free)
+        return taken
+
+    def _expire_at(self, micros: int) -> None:
+        self._handle.registerTimer(micros // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._last.clear()
+        """Forget the keys that no longer block, and look again when more will not."""
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        live: dict[str, int] = {}
+        for keys, at in self._accepted.get():
+            live.update((k, a) for k, a in zip(keys, at) if a + self._ttl > now)
+        if live:
+            self._accepted.put([(list(live), list(live.values()))])
+            # At most 24 looks in the time that a key lives.
+            self._expire_at(max(min(live.values()) + self._ttl, now + self._ttl // 24))
+        else:
+            self._accepted.clear()
         yield from ()
 
     def close(self) -> None:
@@ -68,20 +105,22 @@ class TtlDedup(StatefulProcessor):
 
 def ttl_dedup_stream(
     stream: DataFrame,
-    keys: list[str],
+    key: str,
     ts: str,
     order: str,
     ttl_seconds: int = DEDUP_SECONDS,
     lateness: str = LATENESS,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The accepted rows of a stream. Rows later than ``lateness`` are dropped."""
-    schema = StructType(stream.schema.fields)
+    """The accepted rows of a stream, by a text column ``key``. Rows later than ``lateness`` are
+    dropped. All columns go through Python: select only those that are needed."""
     return (
         stream.withWatermark(ts, lateness)
-        .groupBy(*keys)
+        .withColumn(_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)))
+        .groupBy(_BUCKET)
         .transformWithStateInPandas(
-            TtlDedup(ts, order, ttl_seconds),
-            outputStructType=schema,
+            TtlDedup(key, ts, order, ttl_seconds, stream.columns),
+            outputStructType=stream.schema,
             outputMode="Append",
             timeMode="EventTime",
         )

@@ -8,17 +8,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.sources import audit, raw
 from tessera.sources.messages import decode, quarantined, storable
-from tessera.streaming.dedup import ttl_dedup_stream
+from tessera.streaming.dedup import BUCKETS, ttl_dedup_stream
+
+
+def accepted_messages(messages: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The messages that can be stored and are no repeats, decoded.
+
+    Only the text and its fingerprint pass the stateful step; decoding them again afterwards is
+    cheaper than to carry every field through it.
+    """
+    narrow = storable(decode(messages)).select("ord", "ingest_ts", "value", "fingerprint")
+    fresh = ttl_dedup_stream(narrow, "fingerprint", "ingest_ts", "ord", buckets=buckets)
+    return storable(decode(fresh.drop("fingerprint")))
 
 
 def ingest(
-    messages: DataFrame, store: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame, store: str, checkpoint: str, trigger: dict | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Store each message that is not a repeat. A failed batch is retried as a whole: it writes
     to the folder of its own number, so nothing is lost and nothing is stored twice."""
-    fresh = ttl_dedup_stream(storable(decode(messages)), ["fingerprint"], "ingest_ts", "ord")
     return (
-        fresh.writeStream.foreachBatch(lambda df, n: raw.write_batch(df, f"{store}/fragments", n))
+        accepted_messages(messages, buckets)
+        .writeStream.foreachBatch(lambda df, n: raw.write_batch(df, f"{store}/fragments", n))
         .option("checkpointLocation", f"{checkpoint}/ingest")
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def test_ttl_dedup_over_batches_and_restart(spark, tmp_path):
     put(spark, incoming, [(24, 24, "a")])
     stream = dedup.ttl_dedup_stream(
         messages.file_messages(spark, incoming, max_files_per_trigger=1),
-        ["value"], "ingest_ts", "ord", lateness="100 hours",
+        "value", "ingest_ts", "ord", lateness="100 hours", buckets=2,
     )
     out, query = drain(stream, tmp_path, spark)
     assert len([p for p in query.recentProgress if p.numInputRows]) == 2
@@ -49,7 +50,7 @@ def test_ttl_dedup_state_expires(spark, tmp_path):
     put(spark, incoming, [(0, 0, "a"), (1, 0, "b")])
     put(spark, incoming, [(2, 80, "c")])
     stream = dedup.ttl_dedup_stream(
-        messages.file_messages(spark, incoming, max_files_per_trigger=1), ["value"], "ingest_ts", "ord"
+        messages.file_messages(spark, incoming, max_files_per_trigger=1), "value", "ingest_ts", "ord", buckets=1
     )
     out, query = drain(stream, tmp_path, spark)
     assert out.count() == 3
@@ -60,13 +61,11 @@ def test_ttl_dedup_state_expires(spark, tmp_path):
 
 
 def test_dedup_keeps_only_what_may_be_accepted():
-    import pandas as pd
-
-    op = dedup.TtlDedup("at", "ord", 10)
-    last = pd.Timestamp("2024-01-01")
-    rows = pd.DataFrame({"at": [last + pd.Timedelta(seconds=s) for s in (5, 12, 11, 19, 25, 25)], "ord": range(6)})
-    assert op._possible(rows, last)["ord"].tolist() == [2, 4]
-    assert op._possible(rows, None)["ord"].tolist() == [0, 2, 1, 3, 4]
+    op = dedup.TtlDedup("key", "at", "ord", 10, ["ord"])
+    seconds = [5, 12, 11, 19, 25, 25]
+    rows = pd.DataFrame({"key": "k", "__at": [s * 1_000_000 for s in seconds], "ord": range(6)})
+    assert op._possible(rows, {"k": 0})["ord"].tolist() == [2, 4]
+    assert op._possible(rows, {})["ord"].tolist() == [0, 2, 1, 3, 4]
 
 
 def test_ingest_merges_over_batches(spark, tmp_path):
@@ -75,7 +74,7 @@ def test_ingest_merges_over_batches(spark, tmp_path):
     put(spark, incoming, [(1, 0, one), (2, 1, one), (3, 1, '{"bad'), (4, 1, {"IPv4": None})])
     put(spark, incoming, [(5, 2, {"name": "Ana", "passport": "P1", "sex": None}), (6, 2, {"x": 1}), (7, 2, {"x": 1.5})])
     source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
-    ingest.ingest(source, store, check).awaitTermination()
+    ingest.ingest(source, store, check, buckets=8).awaitTermination()
     ingest.quarantine(source, store, check).awaitTermination()
     ingest.audit_batches(source, f"{store}/log", check).awaitTermination()
     people = raw.collections(spark, f"{store}/fragments")["personal"].collect()
