@@ -9,7 +9,7 @@ from tessera import scratch
 from tessera.operators.keyed import first_per_key
 from tessera.schema import DEDUP_SECONDS
 
-# Largest group, in distinct times, that one task folds; larger keys are split by time.
+# Most rows of one key that one task folds; larger keys are split by time.
 MAX_GROUP = 100_000
 
 
@@ -22,59 +22,59 @@ def ttl_dedup(
     max_group: int = MAX_GROUP,
 ) -> DataFrame:
     """The accepted rows: the first of each key, then each first row that comes at least
-    ``ttl_seconds`` after the last accepted one. ``order`` is unique and breaks ties in time.
+    ``ttl_seconds`` after the last accepted one. ``order`` is a unique integer and breaks ties.
 
-    Rows of one key and time are reduced to the first before any shuffle. Keys with at
-    most ``max_group`` distinct times are folded in one pass; keys with more are walked
-    through time, one slice of ``ttl_seconds`` after the other.
+    Keys with at most ``max_group`` rows are folded, one sorted group each. Keys with more are
+    walked through time, one slice of ``ttl_seconds`` after the other. Rows are counted per key
+    with partial aggregation, to tell the two apart.
     """
-    moments = df.groupBy(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("at")).agg(
-        F.min(order).alias(order)
+    rows = df.select(
+        *keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(order).cast("bigint")
     )
-    sizes = moments.groupBy(*keys).agg(F.count(F.lit(1)).alias("__moments"))
-    hot = scratch.materialise(sizes.where(F.col("__moments") > max_group).select(*keys), "hot-keys")
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = scratch.materialise(counted.where(F.col("__rows") > max_group).select(*keys), "hot-keys")
     ttl = F.lit(ttl_seconds * 1_000_000)
     if hot.isEmpty():
-        accepted = _folded(moments, keys, order, ttl)
+        accepted = _folded(rows, keys, order, ttl)
     else:
-        accepted = _folded(moments.join(hot, keys, "left_anti"), keys, order, ttl).unionByName(
-            _walked(moments.join(hot, keys, "left_semi"), keys, order, ttl)
+        accepted = _folded(rows.join(hot, keys, "left_anti"), keys, order, ttl).unionByName(
+            _walked(rows.join(hot, keys, "left_semi"), keys, order, ttl)
         )
-    return df.join(accepted.select(order), order, "left_semi")
+    return df.join(accepted, order, "left_semi")
 
 
-def _folded(moments: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
-    """Accepted moments by a fold over the sorted times of each key."""
+def _folded(rows: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
+    """Accepted ``order`` values by a fold over the sorted times of each key."""
     start = F.struct(
         F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken")
     )
 
-    def step(state: Column, moment: Column) -> Column:
-        free = state["last"].isNull() | (moment["at"] - state["last"] >= ttl)
+    def step(state: Column, row: Column) -> Column:
+        free = state["last"].isNull() | (row["at"] - state["last"] >= ttl)
         return F.when(
             free,
             F.struct(
-                moment["at"].alias("last"),
-                F.array_append(state["taken"], moment["id"]).alias("taken"),
+                row["at"].alias("last"), F.array_append(state["taken"], row[order]).alias("taken")
             ),
         ).otherwise(state)
 
-    moment = F.struct("at", F.col(order).cast("bigint").alias("id"))
     return (
-        moments.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(moment)).alias("moments"))
-        .select(F.explode(F.aggregate("moments", start, step, lambda s: s["taken"])).alias(order))
+        rows.groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(F.struct("at", order))).alias("rows"))
+        .select(F.explode(F.aggregate("rows", start, step, lambda s: s["taken"])).alias(order))
     )
 
 
-def _walked(moments: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
-    """Accepted moments slice by slice.
+def _walked(rows: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
+    """Accepted ``order`` values slice by slice.
 
-    A slice is as wide as the time to live, so it has at most one accepted moment per key, and
-    only the one of the slice before can block it. Each step reads one slice and takes a
-    minimum per key; the number of steps is the time span over the time to live.
+    Of each key and time only the first row is kept, before any shuffle. A slice is as wide as the
+    time to live, so it has at most one accepted row per key, and only the one of the slice before
+    can block it. Each step reads one slice and takes a minimum per key; the number of steps is
+    the time span over the time to live.
     """
-    spark = moments.sparkSession
+    spark = rows.sparkSession
+    moments = rows.groupBy(*keys, "at").agg(F.min(order).alias(order))
     sliced = scratch.materialise(
         moments.withColumn("slice", F.floor(F.col("at") / ttl)), "hot-moments", ["slice"]
     )

@@ -19,8 +19,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -44,3 +48,8 @@ def drop(spark: SparkSession, path: str) -> None:
     """Remove a table this module wrote."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all tables of this application, once its results are written."""
+    drop(spark, _folder(spark))
