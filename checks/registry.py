@@ -54,7 +54,7 @@ def _incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _incomplete(spark, sf_dir).drop("missing").unionByName(_fused(spark, sf_dir))
+    return fuse.all_persons(**_fragments(spark, sf_dir))
 
 
 def _load(spark: SparkSession, sf_dir: str) -> warehouse.Load:

@@ -23,16 +23,26 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def title_case(c: Column) -> Column:
-    """Capitalise each run of cased letters, so ``o'neil`` gives ``O'Neil``."""
-    runs = F.regexp_extract_all(c, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+def title_case(lowered: Column) -> Column:
+    """Capitalise each run of cased letters, so ``o'neil`` gives ``O'Neil``.
 
+    Plain words with blanks between them, the common case, take the cheap way.
+    """
+    runs = F.regexp_extract_all(lowered, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
+    special = lowered.rlike(r"[^\p{IsLowercase} ]")
+    return F.when(special, F.array_join(F.transform(runs, F.initcap), "")).otherwise(
+        F.initcap(lowered)
+    )
 
-def clean_name(c: Column) -> Column:
+
+def bare_name(c: Column) -> Column:
+    """In lower case, without titles, brackets, dots and surrounding blanks."""
     titles = r"(?U)\b(" + "|".join(TITLES) + r")\b"
-    bare = F.regexp_replace(F.regexp_replace(F.lower(c), titles, ""), "[().]", "")
-    return title_case(strip(bare))
+    return strip(F.translate(F.regexp_replace(F.lower(c), titles, ""), "().", ""))
+
+
+def clean_name(c: Column) -> Column:
+    return title_case(bare_name(c))
 
 
 def clean_phone(c: Column) -> Column:

@@ -12,14 +12,20 @@ from tessera.operators.keyed import spread_group
 PREFIX_ROWS = 500_000
 LONGEST_PREFIX = 6
 
+# Leading characters that tell whether any word begins at a place of a text.
+START = 3
 
-def _prefix_length(vocabulary: DataFrame, prefix_rows: int) -> int:
-    """The longest prefix with at most ``prefix_rows`` different values; one row of counts."""
+
+def _prefix_length(vocabulary: DataFrame, prefix_rows: int) -> tuple[int, list[int]]:
+    """The longest prefix with at most ``prefix_rows`` different values, and the lengths of the words
+    up to ``START``; one row of counts."""
     sizes = range(1, LONGEST_PREFIX + 1)
-    counts = vocabulary.agg(
-        *[F.approx_count_distinct(F.substring("word", 1, k)).alias(str(k)) for k in sizes]
+    row = vocabulary.agg(
+        F.collect_set(F.least(F.length("word"), F.lit(START))).alias("starts"),
+        *[F.approx_count_distinct(F.substring("word", 1, k)).alias(str(k)) for k in sizes],
     ).first()
-    return max((k for k in sizes if counts[str(k)] <= prefix_rows), default=1)
+    longest = max((k for k in sizes if row[str(k)] <= prefix_rows), default=1)
+    return longest, sorted({min(size, longest) for size in row["starts"]})
 
 
 def first_containing(
@@ -30,11 +36,12 @@ def first_containing(
 
     Both words must be in the form in which they are searched. An empty word is in every text.
 
-    1. The vocabulary holds each word once. It is written, as it is read three times.
+    1. The vocabulary holds each word once. It is written, as it is read several times.
     2. The prefix table holds, per leading characters, the lengths of the words that begin so. The
-       prefix is as long as a table of bounded size allows, so that it can be broadcast.
-    3. Each text yields its short substrings; a hit in the prefix table tells which longer
-       substrings to cut there. Only those are shuffled, to meet the vocabulary by equality.
+       prefix is as long as a table of bounded size allows, so that it can be broadcast. A still
+       smaller table of the first characters tells which prefix lengths are worth a look.
+    3. Each place of each text is looked up in the two tables, which leaves the substrings that have
+       the prefix and the length of a word. Only those are shuffled, to meet the vocabulary.
     4. The words found in one text are paired with each other, and the first text per pair is
        a plain minimum.
 
@@ -55,7 +62,13 @@ def first_containing(
         ),
         "vocabulary",
     )
-    prefix = _prefix_length(vocabulary, prefix_rows)
+    prefix, start_sizes = _prefix_length(vocabulary, prefix_rows)
+    start = min(START, prefix)
+    starts = F.broadcast(
+        vocabulary.groupBy(F.substring("word", 1, start).alias("start")).agg(
+            F.collect_set(F.least(F.length("word"), F.lit(prefix))).alias("sizes")
+        )
+    )
     prefixes = F.broadcast(
         vocabulary.groupBy(F.substring("word", 1, prefix).alias("gram")).agg(
             F.collect_set(F.length("word")).alias("lengths")
@@ -63,19 +76,26 @@ def first_containing(
     )
 
     distinct_texts = texts.where(F.col("text") != "").groupBy("text").agg(F.min(order).alias("first"))
-    starts = distinct_texts.select(
+    places = distinct_texts.select(
         "text", "first", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("pos")
+    ).withColumn("ahead", F.expr(f"substring(text, pos, {prefix})"))
+    # A substring that ends with the text is shorter than asked for, and then not of that size. The
+    # empty word is looked up once per text, at its first character.
+    short = places.select(
+        "*", F.explode(F.array(*[F.lit(size) for size in start_sizes])).alias("start_size")
+    ).where((F.col("start_size") > 0) | (F.col("pos") == 1))
+    begun = (
+        short.withColumn("start", F.expr("left(ahead, start_size)"))
+        .where(F.length("start") == F.col("start_size"))
+        .join(starts, "start")
+        .select("text", "first", "pos", "ahead", "start_size", F.explode("sizes").alias("size"))
+        .where(F.least("size", F.lit(start)) == F.col("start_size"))
     )
-    room = F.length("text") - F.col("pos") + 1
-    # The empty substring is taken once per text, at its first character.
-    shortest = F.when(F.col("pos") == 1, 0).otherwise(1)
-    grams = starts.select(
-        "*", F.explode(F.sequence(shortest, F.least(F.lit(prefix), room))).alias("size")
-    ).withColumn("gram", F.expr("substring(text, pos, size)"))
     candidates = (
-        grams.join(prefixes, "gram")
+        begun.withColumn("gram", F.expr("left(ahead, size)"))
+        .where(F.length("gram") == F.col("size"))
+        .join(prefixes, "gram")
         .select("text", "first", "pos", "size", F.explode("lengths").alias("word_length"))
-        # A word no longer than the prefix is its own gram; longer ones need a full prefix.
         .where(F.least("word_length", F.lit(prefix)) == F.col("size"))
         .where(F.col("word_length") <= F.length("text") - F.col("pos") + 1)
         .select("first", F.expr("substring(text, pos, word_length)").alias("word"))

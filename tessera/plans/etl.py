@@ -19,12 +19,12 @@ def load(spark: SparkSession, store: str, root: str) -> int:
     """Fuse the stored fragments, upsert the complete persons, and keep the others and the refused
     rows next to the new warehouse version. Returns the version."""
     parts = {t: clean(df) for t, df in raw.collections(spark, f"{store}/fragments").items()}
+    persons = scratch.materialise(fuse.all_persons(**parts), "all-persons")
     result = warehouse.load_warehouse(
-        fuse.fuse_persons(**parts), snapshots.read_tables(spark, root)
+        fuse.complete(persons), snapshots.read_tables(spark, root), stored=True
     )
     version = snapshots.write_tables(result.tables, root)
-    incomplete = fuse.incomplete_persons(**parts)
-    files.write_json(incomplete, f"{root}/incomplete/version={version}")
+    files.write_json(fuse.incomplete(persons), f"{root}/incomplete/version={version}")
     result.rejected.write.mode("overwrite").parquet(f"{root}/rejected/version={version}")
     _log_load(spark, root, version)
     return version

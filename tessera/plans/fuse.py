@@ -91,14 +91,14 @@ def fuse_persons(
     return whole.withColumn("address", F.col("net_address")).select(*FUSED)
 
 
-def incomplete_persons(
+def all_persons(
     personal: DataFrame,
     location: DataFrame,
     professional: DataFrame,
     bank: DataFrame,
     net: DataFrame,
 ) -> DataFrame:
-    """The other persons, with what was found and ``missing``, the fragments that were not.
+    """Every person with what was found and ``missing``, the fragments that were not.
 
     Without a location, neither professional nor net can be looked up: they are missing too.
     """
@@ -109,13 +109,22 @@ def incomplete_persons(
         "bank": F.col("has_bank").isNotNull(),
         "net": F.col("has_net").isNotNull(),
     }
-    missing = F.array_compact(F.array(*[F.when(~has[f], F.lit(f)) for f in FRAGMENTS]))
-    return (
-        found.withColumn("missing", missing)
-        .where(F.size("missing") > 0)
-        .withColumn("address", F.coalesce("net_address", "address"))
-        .select(*FUSED, F.array_join("missing", ",").alias("missing"))
-    )
+    missing = F.concat_ws(",", *[F.when(~has[f], F.lit(f)) for f in FRAGMENTS])
+    address = F.when(has["net"], F.col("net_address")).otherwise(F.col("address"))
+    return found.withColumn("address", address).select(*FUSED, missing.alias("missing"))
+
+
+def complete(persons: DataFrame) -> DataFrame:
+    return persons.where(F.col("missing") == "").drop("missing")
+
+
+def incomplete(persons: DataFrame) -> DataFrame:
+    return persons.where(F.col("missing") != "")
+
+
+def incomplete_persons(**fragments: DataFrame) -> DataFrame:
+    """The persons that lack a fragment."""
+    return incomplete(all_persons(**fragments))
 
 
 def completeness_totals(personal: DataFrame, incomplete: DataFrame) -> DataFrame:

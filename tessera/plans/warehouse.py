@@ -146,20 +146,24 @@ _CHILDREN = [
 ]
 
 
-def load_warehouse(fused: DataFrame, existing: dict[str, DataFrame] | None = None) -> Load:
+def load_warehouse(
+    fused: DataFrame, existing: dict[str, DataFrame] | None = None, stored: bool = False
+) -> Load:
     """Upsert ``fused``, which has each passport once, into ``existing`` or empty tables.
 
-    The fused and the checked persons feed several tables, so both are written once.
+    The fused and the checked persons feed several tables, so both are written once; ``stored``
+    tells that ``fused`` comes from files already.
     """
     existing = existing or {}
-    fused = scratch.materialise(fused, "fused")
+    if not stored:
+        fused = scratch.materialise(fused, "fused")
     locations = scratch.materialise(load_locations(fused, existing.get("locations")), "locations")
     fused = with_location_id(fused, locations)
     old = existing.get("persons")
     persons = scratch.materialise(check_persons(fused, old), "persons")
     accepted = _shape(check.accepted(persons), "persons")
-    stored = accepted if old is None else upsert_rows(old, accepted, ["passport"])
-    tables = {"locations": locations, "persons": stored}
+    known = accepted if old is None else upsert_rows(old, accepted, ["passport"])
+    tables = {"locations": locations, "persons": known}
     rejected = [
         _rejects(locations_of(fused), "locations", "passport"),
         _rejects(persons, "persons", "passport"),
@@ -167,7 +171,7 @@ def load_warehouse(fused: DataFrame, existing: dict[str, DataFrame] | None = Non
     for table, rows_of, required, unique, id_column in _CHILDREN:
         held = existing.get(table)
         checked = _check_child(
-            rows_of(fused), table, required, unique, stored.select("passport"), held
+            rows_of(fused), table, required, unique, known.select("passport"), held
         )
         tables[table] = _shape(
             _upsert_child(check.accepted(checked).drop("violated"), held, id_column), table
