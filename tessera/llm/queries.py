@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality
+from tessera.llm import quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,5 +23,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
+    return simhash.with_hex(found).select("doc_id", "fingerprint", "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_quality_rules": op2_quality_rules}
+    return {
+        "op2_quality_rules": op2_quality_rules,
+        "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    }
