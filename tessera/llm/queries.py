@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality, simhash
+from tessera.llm import decontaminate, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(found).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op7_benchmark_decontamination": op7_benchmark_decontamination,
     }
