@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, quality, simhash
+from tessera.llm import decontaminate, quality, sentencepiece, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
     return simhash.with_hex(found).select("doc_id", "fingerprint", "component_id")
@@ -35,6 +39,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
     }
