@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, quality, sentencepiece, simhash
+from tessera.llm import decontaminate, pii, quality, sentencepiece, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,10 +36,15 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detected(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
+        "op9_pii": op9_pii,
     }

@@ -46,7 +46,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Units kept with their ids per worker, and pairs with their verdicts; a full store starts anew.
 #: Longer units are not kept.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 500_000
 CACHE_PAIRS = 500_000
 CACHE_LENGTH = 48
 
