@@ -125,15 +125,20 @@ def counts(text: Column) -> Column:
     )
 
 
-def compiled(rules: list[Rule] = RULES) -> Column:
-    """The names of the rules that a row of counts breaks, as one expression."""
+def _base_failed(value) -> Column:
+    return (value("n_words") < 50) | (value("n_repeat_words") * 100 > value("n_words") * 50)
 
-    def value(name: str) -> Column:
-        return F.lit(int(name)).cast("long") if name.isdigit() else F.col(name)
+
+def compiled(value=F.col, rules: list[Rule] = RULES) -> Column:
+    """The names of the rules that a row of counts breaks, as one expression; ``value`` gives a
+    count by its name."""
+
+    def term(name: str) -> Column:
+        return F.lit(int(name)).cast("long") if name.isdigit() else value(name)
 
     broken = []
     for rule in rules:
-        part, whole = value(rule.part) * 100, value(rule.whole)
+        part, whole = term(rule.part) * 100, term(rule.whole)
         bad = F.lit(False)
         if rule.low is not None:
             bad = bad | (part < whole * rule.low)
@@ -146,18 +151,21 @@ def compiled(rules: list[Rule] = RULES) -> Column:
 def judged(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """``docs`` with all counts, ``base_failed``, ``broken`` (names of rules) and ``kept``."""
     rest = [c for c in docs.columns if c not in {*COUNTS, "base_failed", "broken", "kept", "__counts"}]
-    counted = docs.select(*[F.col(f"`{c}`") for c in rest], counts(whole_text(text)).alias("__counts"))
+    rest = [F.col(f"`{c}`") for c in rest]
     return (
-        counted.select(*[F.col(f"`{c}`") for c in rest], "__counts.*")
-        .withColumn(
-            "base_failed",
-            (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50),
-        )
-        .withColumn("broken", compiled(rules))
+        docs.select(*rest, counts(whole_text(text)).alias("__counts"))
+        .select(*rest, "__counts.*")
+        .withColumn("base_failed", _base_failed(F.col))
+        .withColumn("broken", compiled(rules=rules))
         .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
     )
 
 
 def passing(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """The documents that break no rule, with their own columns."""
-    return judged(docs, text, rules).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that break no rule, as they are. The counts are made once per row, inside the
+    filter, and rows keep all columns, whatever their names."""
+    verdict = let(
+        counts(whole_text(text)),
+        lambda c: ~_base_failed(c.getField) & (F.size(compiled(c.getField, rules)) == 0),
+    )
+    return docs.where(verdict)

@@ -41,7 +41,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op2_quality_rules": op2_quality_rules,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
