@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, pii, quality, sentencepiece, simhash
+from tessera.llm import decontaminate, pii, quality, sentencepiece, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(found).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assigned(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +56,7 @@ def queries() -> dict[str, Query]:
         "op2_quality_rules": op2_quality_rules,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op6_sharding": op6_sharding,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op9_pii": op9_pii,
     }
