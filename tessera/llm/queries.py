@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, pii, quality, sentencepiece, sharding, simhash
+from tessera.llm import decontaminate, pii, quality, sentencepiece, sharding, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"), length=13)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -32,6 +36,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(found).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"), length=400)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assigned(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -53,9 +61,11 @@ def queries() -> dict[str, Query]:
 
     return {
         "pipeline": corpus_pipeline.run,
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_quality_rules": op2_quality_rules,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op5_suffix_array_dedup": op5_suffix_array_dedup,
         "op6_sharding": op6_sharding,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op9_pii": op9_pii,
