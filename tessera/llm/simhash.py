@@ -95,7 +95,7 @@ def plan(n: int, distance: int) -> list[int]:
         shared = n * n / 2 * 0.375 ** (SEGMENTS * (groups - distance) / groups)
         return choices * (50 * n + shared)
 
-    groups = min(range(distance + 1, distance + 6), key=work)
+    groups = min(range(distance + 2, distance + 6), key=work)
     bounds = [round(i * SEGMENTS / groups) for i in range(groups + 1)]
     parts = [sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(bounds, bounds[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(parts, groups - distance)]
