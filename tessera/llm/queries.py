@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, pii, quality, sentencepiece, sharding, simhash, substrings, suffixes
+from tessera.llm import decontaminate, pages, pii, quality, sentencepiece, sharding, simhash, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,10 +52,18 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detected(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.texts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -68,5 +76,7 @@ def queries() -> dict[str, Query]:
         "op5_suffix_array_dedup": op5_suffix_array_dedup,
         "op6_sharding": op6_sharding,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
+        "op8_toxicity": op8_toxicity,
         "op9_pii": op9_pii,
+        "op10_html_extraction": op10_html_extraction,
     }
