@@ -161,7 +161,7 @@ def _merged(source: str, kind: str, key: str, fields: list[str]) -> str:
 
 def _fold(source: str, keys: str, ts: str, order: str, columns: str) -> str:
     """Accepted rows by stepping through each key in time order."""
-    on = " AND ".join(f"n.{k} = s.{k}" for k in keys.split(", "))
+    on = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in keys.split(", "))
     names = ", ".join(f"n.{k}" for k in keys.split(", "))
     return f"""
         numbered AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {ts}, {order}) AS rn
@@ -177,6 +177,24 @@ def _fold(source: str, keys: str, ts: str, order: str, columns: str) -> str:
           WHERE s.taken)"""
 
 
+def _arrivals(source: str, keys: str, ts: str, order: str, columns: str, arrival: str) -> str:
+    """Accepted rows by stepping through each key in order of arrival, then time: those with no
+    accepted row less than a day away, before or after."""
+    on = " AND ".join(f"n.{k} IS NOT DISTINCT FROM s.{k}" for k in keys.split(", "))
+    names = ", ".join(f"n.{k}" for k in keys.split(", "))
+    free = f"len(list_filter(s.held, lambda x: abs(epoch_us(x) - epoch_us(n.{ts})) < 86400000000)) = 0"
+    return f"""
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {arrival}, {ts}, {order}) AS rn
+          FROM {source}),
+        steps AS (
+          SELECT {keys}, rn, [{ts}] AS held, TRUE AS taken FROM numbered WHERE rn = 1
+          UNION ALL
+          SELECT {names}, n.rn, CASE WHEN {free} THEN list_append(s.held, n.{ts}) ELSE s.held END, {free}
+          FROM steps s JOIN numbered n ON {on} AND n.rn = s.rn + 1),
+        accepted AS (SELECT {columns} FROM numbered n JOIN steps s ON {on} AND n.rn = s.rn
+          WHERE s.taken)"""
+
+
 def _components(source: str, record_id: str, keys: list[str], on: str = "key, value") -> str:
     """Reachability over links from each record to the first one with the same value."""
     return f"""
@@ -263,11 +281,19 @@ def oracles() -> dict[str, str]:
             ("iban", True), ("salary", True), ("network_id", False), ("ip_address", True),
         ]
     )
-    events_fold = _fold(
-        "events", "user_id, event_type", "ts", "event_id",
-        "n.event_id, n.user_id, n.event_type, strftime(n.ts, '%Y-%m-%d %H:%M:%S') AS accepted_at",
-    )
     personal_fields = ["name", "last_name", "sex", "telfnumber", "passport", "email"]
+    event_columns = (
+        "n.event_id, n.user_id, n.event_type, strftime(n.ts, '%Y-%m-%d %H:%M:%S') AS accepted_at"
+    )
+    events_fold = _fold("events", "user_id, event_type", "ts", "event_id", event_columns)
+    fragment_fields = {
+        "personal": ("passport", personal_fields),
+        "location": ("fullname", ["fullname", "city", "address"]),
+        "professional": ("fullname", [
+            "fullname", "company", "company_address", "company_telfnumber", "company_email", "job"]),
+        "bank": ("passport", ["passport", "IBAN", "salary"]),
+        "net": ("IPv4", ["address", "IPv4"]),
+    }
     bodies = {
         "fuse_persons": "SELECT * FROM fused",
         "clean_personal": "SELECT * FROM c_personal",
@@ -334,7 +360,12 @@ def oracles() -> dict[str, str]:
             SELECT id AS record_id, arg_min(person, pos) AS person, arg_min(key, pos) AS found_by
             FROM asked JOIN known USING (value) GROUP BY id""",
         "ttl_dedup_events": f"{events_fold} SELECT * FROM accepted",
-        "stream_ttl_dedup": f"{events_fold} SELECT * FROM accepted",
+        "ttl_dedup_null_keys": f"""holed AS (SELECT * REPLACE (
+              CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id) FROM events),
+            {_fold("holed", "user_id, event_type", "ts", "event_id", event_columns)} SELECT * FROM accepted""",
+        "stream_ttl_dedup": _arrivals(
+            "events", "user_id, event_type", "ts", "event_id", event_columns, "event_id % 3"
+        ) + " SELECT * FROM accepted",
         "raw_upsert_merge": _merged("decoded", "personal", "passport", personal_fields),
         "raw_upsert_bank": _merged("decoded", "bank", "passport", ["passport", "IBAN", "salary"]),
         "raw_upsert_professional": _merged(
@@ -344,13 +375,17 @@ def oracles() -> dict[str, str]:
         "unknown_dedup": """SELECT min(ord) AS ord, arg_min(value, ord) AS value FROM decoded
             WHERE fragment_type = 'unknown' GROUP BY content""",
         "quarantine": "SELECT ord, value, reason FROM decoded WHERE reason IS NOT NULL",
+        "raw_upsert_location": _merged("decoded", "location", *fragment_fields["location"]),
+        "raw_upsert_net": _merged("decoded", "net", *fragment_fields["net"]),
         "stream_raw_upsert": f"""typed_ok AS (SELECT * FROM decoded
-              WHERE reason IS NULL AND fragment_type = 'personal'),
+              WHERE reason IS NULL AND fragment_type <> 'unknown'),
             {_fold('typed_ok', 'content', 'ingest_ts', 'ord', 'n.ord, n.value, n.fragment_type, n.reason')}
-            {_merged('accepted', 'personal', 'passport', personal_fields)}""",
+            """ + " UNION ALL BY NAME ".join(
+                f"SELECT '{t}' AS fragment_type, * FROM ({_merged('accepted', t, *f)})"
+                for t, f in fragment_fields.items()
+            ),
         "rolling_mean_1m": f"{_WINDOWS} {_WINDOW_ROWS}",
-        "stream_rolling_mean": f"""{_WINDOWS} {_WINDOW_ROWS}
-            WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        "stream_rolling_mean": f"{_WINDOWS} {_WINDOW_ROWS}",
         "duration_histogram": " UNION ALL ".join(
             [
                 f"SELECT event_type, '{b}' AS le, count(*) FILTER (WHERE value <= {b}) AS bucket"

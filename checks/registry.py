@@ -77,11 +77,19 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _in_files(spark: SparkSession, df: DataFrame, label: str, part) -> str:
+    """Write ``df`` as three files, one per value (0, 1, 2) of ``part``, in that order of arrival."""
+    path = scratch.new_path(spark, label)
+    for n in range(3):
+        df.where(part == n).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = table(spark, sf_dir, "events")
-    reader = spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet")
-    stream = reader.parquet(sf_dir)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    """Events in three batches, each of which covers the whole time."""
+    events = _events(spark, sf_dir)
+    path = _in_files(spark, events, "events", F.col("event_id") % 3)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _drain(stream: DataFrame, label: str) -> DataFrame:
@@ -212,20 +220,36 @@ def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "user_id", "event_type",
         F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key"),
     )
-    accepted = ttl_dedup_stream(events, "key", "ts", "event_id", buckets=LOCAL_BUCKETS)
+    # The files reach back over all of a month, so accepted times are kept for longer than that.
+    accepted = ttl_dedup_stream(
+        events, "key", "ts", "event_id", keep_seconds=60 * 86_400, buckets=LOCAL_BUCKETS
+    )
     return _accepted_events(_drain(accepted, "accepted-events"))
 
 
 def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five collections after a stream of three files: events, then orders, then customers."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    incoming = scratch.new_path(spark, "messages")
     store = scratch.new_path(spark, "store")
-    spark_view(spark, sf_dir, "fx_messages").write.parquet(incoming)
+    every = spark_view(spark, sf_dir, "fx_messages")
+    part = F.when(F.col("ord") >= 2_000_000_000, 0).when(F.col("ord") >= 1_000_000_000, 1).otherwise(2)
+    incoming = _in_files(spark, every, "messages", part)
     ingest.ingest(
-        messages.file_messages(spark, incoming), store, scratch.new_path(spark, "checkpoint"),
-        buckets=LOCAL_BUCKETS,
+        messages.file_messages(spark, incoming, max_files_per_trigger=1), store,
+        scratch.new_path(spark, "checkpoint"), buckets=LOCAL_BUCKETS,
     ).awaitTermination()
-    return raw.collections(spark, f"{store}/fragments")["personal"]
+    whole = None
+    for name, df in raw.collections(spark, f"{store}/fragments").items():
+        df = df.withColumn("fragment_type", F.lit(name))
+        whole = df if whole is None else whole.unionByName(df, allowMissingColumns=True)
+    return whole
+
+
+def ttl_dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all events without a user: null is one very hot key."""
+    user = F.when(F.col("event_id") % 3 > 0, F.col("user_id"))
+    events = _events(spark, sf_dir).withColumn("user_id", user)
+    return _accepted_events(ttl_dedup(events, ["user_id", "event_type"], "ts", "event_id"))
 
 
 def unknown_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,8 +265,12 @@ def rolling_mean_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = jobs.rolling_mean_stream(_event_stream(spark, sf_dir), "ts", "event_type", "value")
-    return _window_rows(_drain(stream, "windows"))
+    path = scratch.new_path(spark, "panes")
+    jobs.rolling_mean_stream(
+        _event_stream(spark, sf_dir), "ts", "event_type", "value", path,
+        scratch.new_path(spark, "panes-checkpoint"),
+    ).awaitTermination()
+    return _window_rows(jobs.rolling_means(spark, path).withColumnRenamed("metric", "event_type"))
 
 
 def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,10 +370,13 @@ def queries() -> dict[str, Query]:
         "lookup_location_id": lookup_location_id,
         "lookup_person_priority": lookup_person_priority,
         "ttl_dedup_events": ttl_dedup_events,
+        "ttl_dedup_null_keys": ttl_dedup_null_keys,
         "stream_ttl_dedup": stream_ttl_dedup,
         "raw_upsert_merge": _merged("personal"),
         "raw_upsert_bank": _merged("bank"),
         "raw_upsert_professional": _merged("professional"),
+        "raw_upsert_location": _merged("location"),
+        "raw_upsert_net": _merged("net"),
         "unknown_dedup": unknown_dedup,
         "quarantine": quarantine,
         "stream_raw_upsert": stream_raw_upsert,

@@ -2,101 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import scratch
-from tessera.operators.keyed import first_per_key
 from tessera.schema import DEDUP_SECONDS
 
-# Most rows of one key that one task folds; larger keys are split by time.
-MAX_GROUP = 100_000
+_KEY, _AT, _ORDER = "__key", "__at", "__order"
 
 
 def ttl_dedup(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    order: str,
-    ttl_seconds: int = DEDUP_SECONDS,
-    max_group: int = MAX_GROUP,
+    df: DataFrame, keys: list[str], ts: str, order: str, ttl_seconds: int = DEDUP_SECONDS
 ) -> DataFrame:
     """The accepted rows: the first of each key, then each first row that comes at least
-    ``ttl_seconds`` after the last accepted one. ``order`` is a unique integer and breaks ties.
+    ``ttl_seconds`` after the last accepted one. ``order`` is a unique integer and breaks ties. Null
+    is a key like any other; rows without a time are left out, as nothing can be said of them.
 
-    Keys with at most ``max_group`` rows are folded, one sorted group each. Keys with more are
-    walked through time, one slice of ``ttl_seconds`` after the other. Rows are counted per key
-    with partial aggregation, to tell the two apart.
+    Of each key and moment only the first row is kept before the shuffle. Sorted moments then stream
+    through a fold that holds one time, so a key of any size takes the same path in constant memory.
+    A moment carries the row's ``order``, which alone meets the full rows again.
     """
-    rows = df.select(
-        *keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(order).cast("bigint")
-    )
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = scratch.materialise(counted.where(F.col("__rows") > max_group).select(*keys), "hot-keys")
-    ttl = F.lit(ttl_seconds * 1_000_000)
-    if hot.isEmpty():
-        accepted = _folded(rows, keys, order, ttl)
-    else:
-        accepted = _folded(rows.join(hot, keys, "left_anti"), keys, order, ttl).unionByName(
-            _walked(rows.join(hot, keys, "left_semi"), keys, order, ttl)
+    ttl = ttl_seconds * 1_000_000
+    moments = (
+        df.select(
+            F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias(_KEY),
+            F.unix_micros(F.col(ts).cast("timestamp")).alias(_AT),
+            F.col(order).cast("bigint").alias(_ORDER),
         )
-    return df.join(accepted, order, "left_semi")
-
-
-def _folded(rows: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
-    """Accepted ``order`` values by a fold over the sorted times of each key."""
-    start = F.struct(
-        F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken")
+        .where(F.col(_AT).isNotNull())
+        .groupBy(F.xxhash64(_KEY).alias("__hash"), _KEY, _AT)
+        .agg(F.min(_ORDER).alias(_ORDER))
     )
 
-    def step(state: Column, row: Column) -> Column:
-        free = state["last"].isNull() | (row["at"] - state["last"] >= ttl)
-        return F.when(
-            free,
-            F.struct(
-                row["at"].alias("last"), F.array_append(state["taken"], row[order]).alias("taken")
-            ),
-        ).otherwise(state)
+    def fold(batches):
+        current = last = None
+        for batch in batches:
+            key = batch.column(0)
+            at, number = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            names = key.to_pylist()
+            # Rows before the first change of key go on with the key at hand.
+            change = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            taken: list[int] = []
+            for a, b in zip(change, change[1:], strict=False):
+                if a == b:
+                    continue
+                if names[a] != current:
+                    current, last = names[a], None
+                times = at[a:b]
+                place = 0 if last is None else int(np.searchsorted(times, last + ttl))
+                while place < len(times):
+                    taken.append(a + place)
+                    last = int(times[place])
+                    place = int(np.searchsorted(times, last + ttl))
+            yield pa.RecordBatch.from_arrays([pa.array(number[taken])], names=[order])
 
-    return (
-        rows.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("at", order))).alias("rows"))
-        .select(F.explode(F.aggregate("rows", start, step, lambda s: s["taken"])).alias(order))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    accepted = scratch.materialise(
+        moments.select(_KEY, _AT, _ORDER).repartition(parts, _KEY).sortWithinPartitions(_KEY, _AT)
+        .mapInArrow(fold, f"`{order}` bigint"),
+        "accepted",
     )
-
-
-def _walked(rows: DataFrame, keys: list[str], order: str, ttl: Column) -> DataFrame:
-    """Accepted ``order`` values slice by slice.
-
-    Of each key and time only the first row is kept, before any shuffle. A slice is as wide as the
-    time to live, so it has at most one accepted row per key, and only the one of the slice before
-    can block it. Each step reads one slice and takes a minimum per key; the number of steps is
-    the time span over the time to live.
-    """
-    spark = rows.sparkSession
-    moments = rows.groupBy(*keys, "at").agg(F.min(order).alias(order))
-    sliced = scratch.materialise(
-        moments.withColumn("slice", F.floor(F.col("at") / ttl)), "hot-moments", ["slice"]
-    )
-    slices = sorted(r["slice"] for r in sliced.select("slice").distinct().toLocalIterator())
-    schema = sliced.drop("slice").schema
-    path = scratch.new_path(spark, "hot-accepted")
-    before = None
-    for this in slices:
-        here = sliced.where(F.col("slice") == this).drop("slice")
-        if before == this - 1:
-            last = (
-                spark.read.schema(schema)
-                .parquet(f"{path}/slice={before}")
-                .select(*keys, F.col("at").alias("last"))
-            )
-            here = (
-                here.join(last, keys, "left")
-                .where(F.col("last").isNull() | (F.col("at") - F.col("last") >= ttl))
-                .drop("last")
-            )
-        first_per_key(here, keys, [F.asc("at")]).select(schema.names).write.parquet(
-            f"{path}/slice={this}"
-        )
-        before = this
-    return spark.read.schema(schema).parquet(*[f"{path}/slice={s}" for s in slices]).select(order)
+    return df.join(accepted, order, "left_semi")

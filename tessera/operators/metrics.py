@@ -65,6 +65,36 @@ def last_status(df: DataFrame, ok: Column, ts: str, order: str, *by: str) -> Dat
     return df.groupBy(*by).agg(F.max_by(status, F.struct(ts, order)).alias("status"))
 
 
+# The columns of stored panes.
+PANES = "metric STRING, pane BIGINT, total DECIMAL(38,6), observations BIGINT, batch_id BIGINT"
+
+
+def panes(df: DataFrame, ts: str, metric: str, value: str, slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
+    """Sums per metric and slide."""
+    pane = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide_seconds).alias("pane")
+    return df.groupBy(metric, pane).agg(
+        F.sum(exact(F.col(value))).alias("total"), F.count(value).alias("observations")
+    )
+
+
+def windows(
+    summed: DataFrame, metric: str, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS
+) -> DataFrame:
+    """Means over windows of whole panes; panes of one metric and slide add up."""
+    count = window_seconds // slide_seconds
+    if count * slide_seconds != window_seconds:
+        raise ValueError("the window must be a whole number of slides")
+    return (
+        summed.select(
+            metric, "total", "observations",
+            F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + count)).alias("end"),
+        )
+        .groupBy(metric, F.timestamp_seconds(F.col("end") * slide_seconds).alias("window_end"))
+        .agg(F.sum("total").alias("total"), F.sum("observations").alias("observations"))
+        .withColumn("mean", F.col("total").cast("double") / F.col("observations"))
+    )
+
+
 def rolling_mean(
     df: DataFrame,
     ts: str,
@@ -77,19 +107,4 @@ def rolling_mean(
 
     Rows are first summed into panes of one slide; only panes are copied to the windows.
     """
-    panes = window_seconds // slide_seconds
-    if panes * slide_seconds != window_seconds:
-        raise ValueError("the window must be a whole number of slides")
-    pane = (F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide_seconds)).alias("pane")
-    summed = df.groupBy(metric, pane).agg(
-        F.sum(exact(F.col(value))).alias("total"), F.count(value).alias("observations")
-    )
-    return (
-        summed.select(
-            metric, "total", "observations",
-            F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + panes)).alias("end"),
-        )
-        .groupBy(metric, F.timestamp_seconds(F.col("end") * slide_seconds).alias("window_end"))
-        .agg(F.sum("total").alias("total"), F.sum("observations").alias("observations"))
-        .withColumn("mean", F.col("total").cast("double") / F.col("observations"))
-    )
+    return windows(panes(df, ts, metric, value, slide_seconds), metric, window_seconds, slide_seconds)

@@ -1,14 +1,15 @@
-"""Stateful dedup: a message is accepted unless its like was accepted in the last 24 hours.
+"""Stateful dedup: a message is accepted unless its like was accepted less than a day apart.
 
-The clock is the time of ingestion, so a replay accepts the same messages. A refused repeat
-does not renew the block. State is one time per accepted key, and goes when it no longer blocks.
+The clock is the time of ingestion, so a replay accepts the same messages. Batches come in order of
+arrival, rows of a batch in order of time. No row is dropped for its age: a late one is held against
+the accepted times on both sides of its own. A refused repeat does not renew the block.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,88 +17,77 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tessera.schema import DEDUP_SECONDS
 
-LATENESS = "1 hour"
+# How long a topic holds messages, and so how late one can come.
+RETENTION_SECONDS = 168 * 3600
 
-# Groups of keys that share one call per batch; fixed for the life of a checkpoint. Enough of them
-# spread evenly over the shuffle partitions and hold some ten thousand live keys each.
+# Groups of keys that share one call per batch; fixed for the life of a checkpoint.
 BUCKETS = 4096
 
+# Sweeps of a bucket in the time that an entry is kept.
+SWEEPS = 8
+
 _BUCKET = "__bucket"
 _AT = "__at"
-_NEVER = np.iinfo(np.int64).min // 2
 
 
 class TtlDedup(StatefulProcessor):
-    """Per bucket of keys, what each batch accepted: the keys and their times in microseconds.
+    """Per bucket a map from key to its accepted times in microseconds.
 
-    One state row per bucket and batch keeps calls to the state store few; a row per key would
-    make them the main cost.
+    A batch looks up its own keys only, whatever the bucket holds. Entries more than ``keep_seconds``
+    behind the newest time of the bucket go in a sweep, once per ``keep_seconds / SWEEPS`` of new time.
     """
 
-    def __init__(self, key: str, ts: str, order: str, ttl_seconds: int, columns: list[str]):
+    def __init__(self, key: str, ts: str, order: str, ttl_seconds: int, keep_seconds: int, columns: list[str]):
         self._key, self._ts, self._order = key, ts, order
-        self._ttl, self._columns = ttl_seconds * 1_000_000, columns
+        self._ttl, self._keep = ttl_seconds * 1_000_000, keep_seconds * 1_000_000
+        self._columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._accepted = handle.getListState("accepted", "keys ARRAY<STRING>, at ARRAY<BIGINT>")
+        self._accepted = handle.getMapState("accepted", "key STRING", "at ARRAY<BIGINT>")
+        self._swept = handle.getValueState("swept", "at BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last: dict[str, int] = {}
-        for keys, at in self._accepted.get():
-            last.update(zip(keys, at))
-        # Rows come in chunks and in no order; what cannot be accepted is dropped chunk by chunk, so
-        # that a hot key does not pile up.
+        # Rows come in chunks and in no order. Repeats of one moment go chunk by chunk.
         batch = pd.DataFrame()
         for chunk in rows:
             at = chunk[self._ts].astype("datetime64[us]").astype("int64")
-            batch = self._possible(pd.concat([batch, chunk.assign(**{_AT: at})]), last)
-        accepted = batch[self._take(batch, last)]
+            batch = pd.concat([batch, chunk.assign(**{_AT: at})]).sort_values([self._key, _AT, self._order])
+            batch = batch.drop_duplicates([self._key, _AT])
+        taken: list[bool] = []
+        for name, times in batch.groupby(self._key, sort=False, dropna=False)[_AT]:
+            # The state store has no null keys.
+            own = ("null" if pd.isna(name) else f"={name}",)
+            held = self._accepted.getValue(own)
+            before = list(held[0]) if held else []
+            free, after = self._fold(before, times.tolist())
+            taken += free
+            if any(free):
+                self._accepted.updateValue(own, (after,))
+        accepted = batch[taken]
         if len(accepted):
-            newest = accepted.groupby(self._key)[_AT].max()
-            self._accepted.appendList([(newest.index.tolist(), newest.tolist())])
-            if next(iter(self._handle.listTimers()), None) is None:
-                self._expire_at(int(newest.min()) + self._ttl)
+            self._sweep(int(accepted[_AT].max()))
             yield accepted[self._columns]
 
-    def _since(self, rows: pd.DataFrame, last: dict[str, int]) -> pd.Series:
-        """Time since the last accepted row of the same key."""
-        return rows[_AT] - rows[self._key].map(last).fillna(_NEVER).astype("int64")
-
-    def _possible(self, rows: pd.DataFrame, last: dict[str, int]) -> pd.DataFrame:
-        """The rows that may be accepted, in order: of each key and time the first, and of the
-        times that the last accepted row bears on only the first that it does not block."""
-        rows = rows[self._since(rows, last) >= self._ttl]
-        rows = rows.sort_values([self._key, _AT, self._order])
-        rows = rows.drop_duplicates([self._key, _AT])
-        near = self._since(rows, last) < 2 * self._ttl
-        return rows[~(near & rows.duplicated(self._key))]
-
-    def _take(self, rows: pd.DataFrame, last: dict[str, int]) -> list[bool]:
-        taken = []
-        for key, at in zip(rows[self._key], rows[_AT]):
-            free = at - last.get(key, _NEVER) >= self._ttl
-            if free:
-                last[key] = at
-            taken.append(free)
-        return taken
-
-    def _expire_at(self, micros: int) -> None:
-        self._handle.registerTimer(micros // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Forget the keys that no longer block, and look again when more will not."""
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        live: dict[str, int] = {}
-        for keys, at in self._accepted.get():
-            live.update((k, a) for k, a in zip(keys, at) if a + self._ttl > now)
-        if live:
-            self._accepted.put([(list(live), list(live.values()))])
-            # At most 24 looks in the time that a key lives.
-            self._expire_at(max(min(live.values()) + self._ttl, now + self._ttl // 24))
-        else:
-            self._accepted.clear()
-        yield from ()
+    def _sweep(self, newest: int) -> None:
+        held = self._swept.get()
+        if held is None:
+            self._swept.update((newest,))
+        elif newest - held[0] > self._keep // SWEEPS:
+            old = [key for key, (at,) in self._accepted.iterator() if max(at) <= newest - self._keep]
+            for key in old:
+                self._accepted.removeKey(key)
+            self._swept.update((newest,))
+
+    def _fold(self, accepted: list[int], times: list[int]) -> tuple[list[bool], list[int]]:
+        """Which of ``times`` are accepted, and all accepted times that still matter."""
+        free = []
+        for at in times:
+            place = bisect_left(accepted, at)
+            near = accepted[max(0, place - 1) : place + 1]
+            free.append(all(abs(at - other) >= self._ttl for other in near))
+            if free[-1]:
+                accepted.insert(place, at)
+        return free, [at for at in accepted if at > accepted[-1] - self._keep]
 
     def close(self) -> None:
         pass
@@ -109,19 +99,19 @@ def ttl_dedup_stream(
     ts: str,
     order: str,
     ttl_seconds: int = DEDUP_SECONDS,
-    lateness: str = LATENESS,
+    keep_seconds: int = RETENTION_SECONDS + DEDUP_SECONDS,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The accepted rows of a stream, by a text column ``key``. Rows later than ``lateness`` are
-    dropped. All columns go through Python: select only those that are needed."""
+    """The accepted rows of a stream, by a text column ``key``. A message that comes more than
+    ``keep_seconds`` behind another of its key is accepted, as what was near it is forgotten; that may
+    store a message twice, but loses none. All columns go through Python: select only those needed."""
     return (
-        stream.withWatermark(ts, lateness)
-        .withColumn(_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)))
+        stream.withColumn(_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)))
         .groupBy(_BUCKET)
         .transformWithStateInPandas(
-            TtlDedup(key, ts, order, ttl_seconds, stream.columns),
+            TtlDedup(key, ts, order, ttl_seconds, keep_seconds, stream.columns),
             outputStructType=stream.schema,
             outputMode="Append",
-            timeMode="EventTime",
+            timeMode="None",
         )
     )

@@ -4,37 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions.cleaning import clean
-from tessera.operators.metrics import SLIDE_SECONDS, WINDOW_SECONDS, exact
+from tessera.operators.metrics import PANES, panes, windows
 from tessera.plans.resolve import group_records
 from tessera.scratch import materialise
 from tessera.sources import files, raw
-from tessera.streaming.dedup import LATENESS
 
 # The period of the analysis of incomplete persons.
 ANALYSIS_PERIOD = "20 seconds"
 
 
 def rolling_mean_stream(
-    stream: DataFrame, ts: str, metric: str, value: str, lateness: str = LATENESS
-) -> DataFrame:
-    """Mean per metric over the last minute, every ten seconds; emitted once windows are final."""
-    span = F.window(ts, f"{WINDOW_SECONDS} seconds", f"{SLIDE_SECONDS} seconds")
+    stream: DataFrame, ts: str, metric: str, value: str, path: str, checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the panes of each batch in a folder of its number; ``rolling_means`` reads them.
+
+    Panes of several batches add up, so there is no state, no row is too late, and the last windows are
+    there as soon as their rows are. A retried batch replaces itself.
+    """
+
+    def write(df: DataFrame, batch: int) -> None:
+        summed = panes(df, ts, metric, value).withColumnRenamed(metric, "metric")
+        summed.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+
     return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(metric, span.alias("span"))
-        .agg(F.sum(exact(F.col(value))).alias("total"), F.count(value).alias("observations"))
-        .select(
-            metric, F.col("span.end").alias("window_end"), "total", "observations",
-            (F.col("total").cast("double") / F.col("observations")).alias("mean"),
-        )
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
 
 
+def rolling_means(spark: SparkSession, path: str) -> DataFrame:
+    """Mean per metric over the last minute, every ten seconds, over all batches so far."""
+    return windows(spark.read.schema(PANES).option("basePath", path).parquet(path), "metric")
+
+
 def people_so_far(fragments: DataFrame) -> DataFrame:
     """All stored fragments, cleaned, merged to people by their identifying values."""
     return group_records(clean(fragments), "ord", raw.FIELDS, present="present")

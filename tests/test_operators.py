@@ -99,14 +99,14 @@ def hours(spark, rows):
     return df.withColumn("ts", F.timestamp_micros((F.col("hour") * 3_600_000_000).cast("long")))
 
 
-@pytest.mark.parametrize("max_group", [1_000, 10, 0])
-def test_ttl_dedup_equals_fold(spark, max_group):
+def test_ttl_dedup_equals_fold(spark):
     rng = random.Random(5)
     rows = [("hot", rng.randrange(600), i) for i in range(150)]
     rows += [(f"k{i % 20}", rng.randrange(300), 1000 + i) for i in range(100)]
     rows += [("gap", h, 5000 + h) for h in (0, 20, 24, 30, 50, 500)]
     rows = [(k, float(h), i) for k, h, i in rows]
-    got = ttl_dedup(hours(spark, rows), ["k"], "ts", "ord", max_group=max_group)
+    rows += [(None, float(rng.randrange(900)), 9000 + i) for i in range(200)]
+    got = ttl_dedup(hours(spark, rows + [("k1", None, 9999)]), ["k"], "ts", "ord")
     assert sorted(r.ord for r in got.collect()) == fold(rows, 24)
 
 

@@ -35,7 +35,7 @@ def test_ttl_dedup_over_batches_and_restart(spark, tmp_path):
     put(spark, incoming, [(24, 24, "a")])
     stream = dedup.ttl_dedup_stream(
         messages.file_messages(spark, incoming, max_files_per_trigger=1),
-        "value", "ingest_ts", "ord", lateness="100 hours", buckets=2,
+        "value", "ingest_ts", "ord", buckets=2,
     )
     out, query = drain(stream, tmp_path, spark)
     assert len([p for p in query.recentProgress if p.numInputRows]) == 2
@@ -45,27 +45,51 @@ def test_ttl_dedup_over_batches_and_restart(spark, tmp_path):
     assert sorted(r.ord for r in out.collect()) == [0, 2, 24, 50]
 
 
-def test_ttl_dedup_state_expires(spark, tmp_path):
+def test_late_messages_are_kept_and_held_against_both_sides(spark, tmp_path):
     incoming = str(tmp_path / "in")
-    put(spark, incoming, [(0, 0, "a"), (1, 0, "b")])
-    put(spark, incoming, [(2, 80, "c")])
+    for rows in ([(1, 100, "a"), (2, 100, "b")], [(3, 40, "a"), (4, 60, "a"), (5, 90, "a")],
+                 [(6, 0, "c"), (7, 70, "a"), (8, 30, "b"), (9, 64, "a")]):
+        put(spark, incoming, rows)
     stream = dedup.ttl_dedup_stream(
         messages.file_messages(spark, incoming, max_files_per_trigger=1), "value", "ingest_ts", "ord", buckets=1
     )
-    out, query = drain(stream, tmp_path, spark)
-    assert out.count() == 3
-    assert query.lastProgress["stateOperators"][0]["customMetrics"] is not None
-    put(spark, incoming, [(3, 81, "a")])
     out, _ = drain(stream, tmp_path, spark)
-    assert out.count() == 4
+    assert sorted(r.ord for r in out.collect()) == [1, 2, 3, 6, 8, 9]
+
+
+def test_state_is_swept(spark, tmp_path):
+    incoming = str(tmp_path / "in")
+    put(spark, incoming, [(0, 0, "a"), (1, 0, "b")])
+    put(spark, incoming, [(2, 200, "c")])
+    put(spark, incoming, [(3, 10, "a"), (4, 201, "c")])
+    stream = dedup.ttl_dedup_stream(
+        messages.file_messages(spark, incoming, max_files_per_trigger=1), "value", "ingest_ts", "ord",
+        keep_seconds=100 * 3600, buckets=1,
+    )
+    out, _ = drain(stream, tmp_path, spark)
+    assert sorted(r.ord for r in out.collect()) == [0, 1, 2, 3]
+
+
+def test_fold_holds_times_apart():
+    op = dedup.TtlDedup("key", "at", "ord", 10, 100, ["ord"])
+    s = 1_000_000
+    free, held = op._fold([50 * s], [5 * s, 12 * s, 15 * s, 41 * s, 60 * s, 161 * s])
+    assert free == [True, False, True, False, True, True]
+    assert held == [161 * s]
 
 
-def test_dedup_keeps_only_what_may_be_accepted():
-    op = dedup.TtlDedup("key", "at", "ord", 10, ["ord"])
-    seconds = [5, 12, 11, 19, 25, 25]
-    rows = pd.DataFrame({"key": "k", "__at": [s * 1_000_000 for s in seconds], "ord": range(6)})
-    assert op._possible(rows, {"k": 0})["ord"].tolist() == [2, 4]
-    assert op._possible(rows, {})["ord"].tolist() == [0, 2, 1, 3, 4]
+def test_nothing_is_lost_on_the_way(spark, tmp_path):
+    incoming, store, check = (str(tmp_path / p) for p in ("in", "store", "check"))
+    put(spark, incoming, [(k, 500 + k, {"passport": f"P{k}", "name": "n"}) for k in range(40)] + [(50, 600, "{")])
+    put(spark, incoming, [(100 + k, k, {"passport": f"P{k}", "IBAN": "i"}) for k in range(40)])
+    put(spark, incoming, [(200 + k, 300 + k, {"passport": f"P{k}", "name": "n"}) for k in range(40)] + [(250, 500.5, {"name": "n", "passport": "P0"})])
+    source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
+    ingest.ingest(source, store, check, buckets=4).awaitTermination()
+    ingest.quarantine(source, store, check).awaitTermination()
+    stored = sorted(r.ord for r in raw.read_fragments(spark, f"{store}/fragments").collect())
+    refused = [r.ord for r in spark.read.parquet(f"{store}/quarantine").collect()]
+    assert refused == [50]
+    assert stored == sorted([*range(40), *range(100, 140), *range(200, 240)])  # 250 is a repeat of 0
 
 
 def test_ingest_merges_over_batches(spark, tmp_path):
@@ -127,13 +151,16 @@ def test_snapshots_are_numbered_and_cumulative(spark, tmp_path):
 
 def test_rolling_mean_stream(spark, tmp_path):
     incoming = str(tmp_path / "in")
-    put(spark, incoming, [(1, 0, "2"), (2, 5 / 3600, "4"), (3, 4, "9")])
-    stream = messages.file_messages(spark, incoming).select(
+    put(spark, incoming, [(3, 4, "9"), (2, 5 / 3600, "4")])
+    put(spark, incoming, [(1, 0, "2")])
+    stream = messages.file_messages(spark, incoming, max_files_per_trigger=1).select(
         "ingest_ts", F.lit("send").alias("metric"), F.col("value").cast("double").alias("value")
     )
-    out, _ = drain(jobs.rolling_mean_stream(stream, "ingest_ts", "metric", "value"), tmp_path, spark)
-    rows = sorted((r.window_end.minute * 60 + r.window_end.second, r["mean"]) for r in out.collect())
-    assert rows == [(s, 3.0) for s in (10, 20, 30, 40, 50, 60)]
+    path = str(tmp_path / "panes")
+    jobs.rolling_mean_stream(stream, "ingest_ts", "metric", "value", path, str(tmp_path / "check")).awaitTermination()
+    rows = sorted((r.window_end.hour, r.window_end.minute * 60 + r.window_end.second, r["mean"])
+                  for r in jobs.rolling_means(spark, path).collect())
+    assert rows == [(0, s, 3.0) for s in (10, 20, 30, 40, 50, 60)] + [(4, s, 9.0) for s in (10, 20, 30, 40, 50, 60)]
 
 
 def test_recurring_job_sees_each_batch(spark, tmp_path):
