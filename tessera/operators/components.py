@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tessera import scratch
 from tessera.operators.keyed import spread_group
 
-MAX_ROUNDS = 100
-
 
 def value_links(melted: DataFrame, record_id: str, on: list[str]) -> DataFrame:
     """Edges ``(child, parent)`` from each record to the first record with the same value.
@@ -70,20 +68,19 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return crossed.isEmpty()
 
 
-def stars(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def stars(edges: DataFrame) -> DataFrame:
     """``(child, parent)`` with the least node of the component as the only parent.
 
-    ``edges`` has ``child > parent``. Each round is written to the shared folder.
+    ``edges`` has ``child > parent``. Each round is written to the shared folder; every round that changes
+    something lowers a parent, so the loop ends.
     """
     spark = edges.sparkSession
     current, path = scratch.stored(edges, "edges")
-    for _ in range(max_rounds):
-        if _is_star_forest(current):
-            return current
+    while not _is_star_forest(current):
         following, next_path = scratch.stored(_small_star(_large_star(current)), "edges")
         scratch.drop(spark, path)
         current, path = following, next_path
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    return current
 
 
 def components(nodes: DataFrame, node: str, edges: DataFrame) -> DataFrame:

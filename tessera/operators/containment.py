@@ -22,7 +22,7 @@ def _prefix_length(vocabulary: DataFrame, prefix_rows: int) -> tuple[int, list[i
     sizes = range(1, LONGEST_PREFIX + 1)
     row = vocabulary.agg(
         F.collect_set(F.least(F.length("word"), F.lit(START))).alias("starts"),
-        *[F.approx_count_distinct(F.substring("word", 1, k)).alias(str(k)) for k in sizes],
+        *[F.count_distinct(F.substring("word", 1, k)).alias(str(k)) for k in sizes],
     ).first()
     longest = max((k for k in sizes if row[str(k)] <= prefix_rows), default=1)
     return longest, sorted({min(size, longest) for size in row["starts"]})
@@ -42,11 +42,9 @@ def first_containing(
        smaller table of the first characters tells which prefix lengths are worth a look.
     3. Each place of each text is looked up in the two tables, which leaves the substrings that have
        the prefix and the length of a word. Only those are shuffled, to meet the vocabulary.
-    4. The words found in one text are paired with each other, and the first text per pair is
-       a plain minimum.
-
-    Work per text depends on its length alone: a word that is in a third of all texts
-    meets one vocabulary row, and never a group of texts.
+    4. Each pair meets the texts of its rarer word, by equality, and the other word is looked for in those;
+       what is left holds the pair, and the first text is a plain minimum. Pairs that nobody
+       asked for are never made.
     """
     words = pairs.select(
         F.explode(
@@ -98,20 +96,21 @@ def first_containing(
         .select("text", "first", "pos", "size", F.explode("lengths").alias("word_length"))
         .where(F.least("word_length", F.lit(prefix)) == F.col("size"))
         .where(F.col("word_length") <= F.length("text") - F.col("pos") + 1)
-        .select("first", F.expr("substring(text, pos, word_length)").alias("word"))
+        .select("text", "first", F.expr("substring(text, pos, word_length)").alias("word"))
     )
-    found = (
-        candidates.join(vocabulary, "word")
-        .groupBy("first")
-        .agg(
-            F.collect_set(F.when(F.col("is_a"), F.col("word"))).alias("as"),
-            F.collect_set(F.when(F.col("is_b"), F.col("word"))).alias("bs"),
-        )
+    found = scratch.materialise(
+        candidates.join(vocabulary.select("word"), "word").distinct(), "found-words"
     )
-    return spread_group(
-        found.select("first", "bs", F.explode("as").alias("a")).select(
-            "first", "a", F.explode("bs").alias("b")
-        ),
-        ["a", "b"],
-        F.min("first").alias(order),
+    texts_of = spread_group(found, ["word"], F.count(F.lit(1)).alias("n"))
+    wanted = pairs.select("a", "b").distinct()
+    wanted = (
+        wanted.join(texts_of.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a")
+        .join(texts_of.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b")
+    )
+    rarer = F.col("n_a") <= F.col("n_b")
+    asked = wanted.select(
+        "a", "b", F.when(rarer, F.col("a")).otherwise(F.col("b")).alias("word"),
+        F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("other"),
     )
+    held = asked.join(found, "word").where(F.col("text").contains(F.col("other")))
+    return spread_group(held, ["a", "b"], F.min("first").alias(order))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera import scratch
+
 _SPREAD = "__spread"
 
 
@@ -36,25 +38,26 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
     )
 
 
-def numbered(
-    df: DataFrame, order: str, alias: str, start: int = 0, block_rows: int = 1_000_000
-) -> DataFrame:
-    """Add consecutive ids from ``start + 1`` in the order of a unique integer column.
+def numbered(df: DataFrame, order: str, alias: str, start: int = 0) -> DataFrame:
+    """Add consecutive ids from ``start + 1`` in the order of a unique integer column, dense or not.
 
-    Rows are ranked within blocks of ``block_rows`` consecutive order values; only one row
-    per block, its size, goes through the ordered running sum.
+    Rows are dealt to ranges of about equal size and written with the number of their range; the driver
+    sees one count per range.
     """
-    blocks = df.withColumn("__block", F.floor(F.col(order) / F.lit(block_rows)))
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocks.groupBy("__block")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = scratch.materialise(
+        df.repartitionByRange(parts, order).withColumn("__part", F.spark_partition_id()), "numbered"
     )
-    within = Window.partitionBy("__block").orderBy(order)
+    counts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect()
+    firsts, total = [], start
+    for row in counts:
+        firsts.append((row["__part"], total))
+        total += row["n"]
+    before = spark.createDataFrame(firsts, "__part int, __before long")
+    within = Window.partitionBy("__part").orderBy(order)
     return (
-        blocks.withColumn("__rank", F.row_number().over(within))
-        .join(offsets, "__block")
-        .withColumn(alias, F.lit(start) + F.col("__before") + F.col("__rank"))
-        .drop("__block", "__rank", "__before")
+        dealt.join(F.broadcast(before), "__part")
+        .withColumn(alias, F.col("__before") + F.row_number().over(within))
+        .drop("__part", "__before")
     )

@@ -23,9 +23,12 @@ def load(spark: SparkSession, store: str, root: str) -> int:
     result = warehouse.load_warehouse(
         fuse.complete(persons), snapshots.read_tables(spark, root), stored=True
     )
-    version = snapshots.write_tables(result.tables, root)
-    files.write_json(fuse.incomplete(persons), f"{root}/incomplete/version={version}")
-    result.rejected.write.mode("overwrite").parquet(f"{root}/rejected/version={version}")
+
+    def beside(version: int) -> None:
+        files.write_json(fuse.incomplete(persons), f"{root}/incomplete/version={version}")
+        result.rejected.write.mode("overwrite").parquet(f"{root}/rejected/version={version}")
+
+    version = snapshots.write_tables(result.tables, root, beside)
     _log_load(spark, root, version)
     return version
 
@@ -58,6 +61,22 @@ class Analysis:
     clusters: DataFrame
 
 
+# The report of an analysis, per warehouse version.
+REPORT = {"matches": "matches", "clusters": "clusters"}
+
+
+def write_analysis(spark: SparkSession, root: str) -> int | None:
+    """Analyse the last load and keep the report beside it; a repeated run replaces its own. Returns the
+    version, or None before the first load."""
+    version = snapshots.latest_version(spark, root)
+    if version is None:
+        return None
+    found = analyse(spark, root)
+    for name in REPORT:
+        getattr(found, name).write.mode("overwrite").parquet(f"{root}/analysis/version={version}/{REPORT[name]}")
+    return version
+
+
 def read_incomplete(spark: SparkSession, root: str) -> DataFrame:
     version = snapshots.latest_version(spark, root)
     return files.read_records(spark, f"{root}/incomplete/version={version}", _INCOMPLETE)

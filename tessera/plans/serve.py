@@ -21,24 +21,34 @@ def facet(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(truthy(F.col(column))).distinct().orderBy(column)
 
 
-def embedded(tables: dict[str, DataFrame]) -> DataFrame:
-    """Each person with its professional, location, bank and network row, where it has one."""
+def embedded(tables: dict[str, DataFrame], city: str = "all", job: str = "all") -> DataFrame:
+    """Each person with its professional, location, bank and network row, where it has one.
+
+    The filters on city and job are applied to their small tables before any join, and the joins that
+    they make selective come first, so that only wanted persons meet bank and network rows.
+    """
+    work = tables["professional_data"].withColumnRenamed("passport_fk", "passport")
+    places = tables["locations"].withColumnRenamed("location_id", "location_id_fk")
+    by_job, by_city = (x.lower() not in ("all", "") for x in (job, city))
+    if by_job:
+        work = work.where(prefix_filter(F.col("job_title"), job))
+    if by_city:
+        places = places.where(prefix_filter(F.col("city"), city))
     return (
         tables["persons"]
-        .join(tables["professional_data"].withColumnRenamed("passport_fk", "passport"), "passport", "left")
+        .join(places, "location_id_fk", "inner" if by_city else "left")
+        .join(work, "passport", "inner" if by_job else "left")
         .join(tables["bank_data"].withColumnRenamed("passport_fk", "passport"), "passport", "left")
         .join(
             tables["network_data"].drop("location_id_fk").withColumnRenamed("passport_fk", "passport"),
             "passport", "left",
         )
-        .join(tables["locations"].withColumnRenamed("location_id", "location_id_fk"), "location_id_fk", "left")
     )
 
 
 def persons_by(tables: dict[str, DataFrame], city: str = "all", job: str = "all") -> DataFrame:
     """Persons whose city and job begin with the given texts; ``all`` lets every person pass."""
-    wanted = prefix_filter(F.col("city"), city) & prefix_filter(F.col("job_title"), job)
-    return embedded(tables).where(wanted).select(*PERSON_VIEW)
+    return embedded(tables, city, job).select(*PERSON_VIEW)
 
 
 def _pruned(c: Column, kind: T.DataType) -> Column:

@@ -151,7 +151,7 @@ def load_warehouse(
 ) -> Load:
     """Upsert ``fused``, which has each passport once, into ``existing`` or empty tables.
 
-    The fused and the checked persons feed several tables, so both are written once; ``stored``
+    The fused rows and the checked ones feed both tables and refusals, so they are written once; ``stored``
     tells that ``fused`` comes from files already.
     """
     existing = existing or {}
@@ -170,8 +170,9 @@ def load_warehouse(
     ]
     for table, rows_of, required, unique, id_column in _CHILDREN:
         held = existing.get(table)
-        checked = _check_child(
-            rows_of(fused), table, required, unique, known.select("passport"), held
+        checked = scratch.materialise(
+            _check_child(rows_of(fused), table, required, unique, known.select("passport"), held),
+            f"checked-{table}",
         )
         tables[table] = _shape(
             _upsert_child(check.accepted(checked).drop("violated"), held, id_column), table

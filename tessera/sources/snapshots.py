@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera import schema
@@ -39,14 +41,19 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def write_tables(tables: dict[str, DataFrame], root: str) -> int:
-    """Write the next version; it counts only once all tables are there."""
+def write_tables(
+    tables: dict[str, DataFrame], root: str, beside: Callable[[int], None] | None = None
+) -> int:
+    """Write the next version; it counts only once all tables are there, and what ``beside`` writes
+    for the same version."""
     spark = next(iter(tables.values())).sparkSession
     last = latest_version(spark, root)
     version = 0 if last is None else last + 1
     folder = f"{root}/version={version}"
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    if beside:
+        beside(version)
     fs, marker = _path(spark, folder, _MARKER)
     fs.create(marker, True).close()
     return version

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions.cleaning import clean
 from tessera.operators.metrics import PANES, panes, windows
+from tessera.plans import etl
 from tessera.plans.resolve import group_records
 from tessera.scratch import materialise
 from tessera.sources import files, raw
@@ -87,3 +88,10 @@ def recurring(
         .trigger(**(trigger or {"processingTime": ANALYSIS_PERIOD}))
         .start()
     )
+
+
+def recurring_analysis(
+    stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Report on the incomplete persons of the last load whenever messages came in the period."""
+    return recurring(stream, lambda df, _: etl.write_analysis(df.sparkSession, root), checkpoint, trigger)

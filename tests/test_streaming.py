@@ -175,7 +175,15 @@ def test_recurring_job_sees_each_batch(spark, tmp_path):
 
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        messages.kafka_messages(spark, "broker:9092", "people", partitions=3)
+        messages.kafka_messages(spark, "broker:9092", "people")
+
+
+def test_arrival_orders_by_time_partition_and_offset(spark):
+    rows = [(2, 0, 5), (1, 900, 1), (1, 3, 4097), (1, 3, 4098), (1, 0, 1 << 40)]
+    df = spark.createDataFrame(rows, "s long, p int, o long").withColumn("t", F.timestamp_seconds("s"))
+    ordered = df.withColumn("ord", messages.arrival(F.col("t"), F.col("p"), F.col("o"))).orderBy("ord")
+    assert [r.s * 10**6 + r.p for r in ordered.collect()] == [10**6, 10**6 + 3, 10**6 + 3, 10**6 + 900, 2 * 10**6]
+    assert ordered.select("ord").distinct().count() == 5
 
 
 def test_json_array_source(spark, tmp_path):
