@@ -384,6 +384,13 @@ def oracles() -> dict[str, str]:
                 f"SELECT '{t}' AS fragment_type, * FROM ({_merged('accepted', t, *f)})"
                 for t, f in fragment_fields.items()
             ),
+        "ingest_metrics": _arrivals(
+            "(SELECT * FROM decoded WHERE reason IS NULL)", "content", "ingest_ts", "ord",
+            "n.fragment_type", "CASE WHEN ord >= 2000000000 THEN 0 WHEN ord >= 1000000000 THEN 1 ELSE 2 END",
+        ) + """ SELECT 'stored ' || fragment_type AS metric, CAST(count(*) AS DOUBLE) AS total
+              FROM accepted GROUP BY 1
+            UNION ALL SELECT coalesce(reason, 'received ' || fragment_type), CAST(count(*) AS DOUBLE)
+              FROM decoded GROUP BY 1""",
         "rolling_mean_1m": f"{_WINDOWS} {_WINDOW_ROWS}",
         "stream_rolling_mean": f"{_WINDOWS} {_WINDOW_ROWS}",
         "duration_histogram": " UNION ALL ".join(

@@ -15,7 +15,7 @@ from tessera.operators import metrics
 from tessera.operators.dedup import ttl_dedup
 from tessera.plans import fuse, resolve, serve, warehouse
 from tessera.session import STATE_STORE
-from tessera.sources import audit, files, messages, raw, snapshots
+from tessera.sources import audit, files, messages, observations, raw, snapshots
 from tessera.streaming import ingest, jobs
 from tessera.streaming.dedup import ttl_dedup_stream
 
@@ -85,6 +85,10 @@ def _in_files(spark: SparkSession, df: DataFrame, label: str, part) -> str:
     return path
 
 
+# Messages by their source: events, orders, customers.
+_SOURCE = "CASE WHEN ord >= 2000000000 THEN 0 WHEN ord >= 1000000000 THEN 1 ELSE 2 END"
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in three batches, each of which covers the whole time."""
     events = _events(spark, sf_dir)
@@ -151,8 +155,20 @@ def name_in_fullname(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def completeness_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    personal = spark_view(spark, sf_dir, "fx_personal")
-    return fuse.completeness_totals(personal, _incomplete(spark, sf_dir))
+    return fuse.completeness_totals(_everyone(spark, sf_dir))
+
+
+def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the running ingest observed over three batches, in total per metric."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    store, checkpoint = scratch.new_path(spark, "store"), scratch.new_path(spark, "checkpoint")
+    every = spark_view(spark, sf_dir, "fx_messages")
+    incoming = _in_files(spark, every, "messages", F.expr(_SOURCE))
+    source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
+    ingest.ingest(source, store, checkpoint, buckets=LOCAL_BUCKETS).awaitTermination()
+    ingest.audit_batches(source, store, checkpoint).awaitTermination()
+    seen = observations.read(spark, f"{store}/metrics")
+    return seen.groupBy("metric").agg(F.sum("value").alias("total"))
 
 
 def upsert_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,8 +248,7 @@ def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     store = scratch.new_path(spark, "store")
     every = spark_view(spark, sf_dir, "fx_messages")
-    part = F.when(F.col("ord") >= 2_000_000_000, 0).when(F.col("ord") >= 1_000_000_000, 1).otherwise(2)
-    incoming = _in_files(spark, every, "messages", part)
+    incoming = _in_files(spark, every, "messages", F.expr(_SOURCE))
     ingest.ingest(
         messages.file_messages(spark, incoming, max_files_per_trigger=1), store,
         scratch.new_path(spark, "checkpoint"), buckets=LOCAL_BUCKETS,
@@ -332,7 +347,7 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("step"),
         F.concat("event_type", F.lit(" by "), F.col("user_id").cast("string")),
     )
-    audit.append(log, path)
+    audit.append(log, path, "0")
     return audit.read(spark, path)
 
 
@@ -392,4 +407,5 @@ def queries() -> dict[str, Query]:
         "roundtrip_raw": roundtrip_raw,
         "roundtrip_warehouse": roundtrip_warehouse,
         "audit_log": audit_log,
+        "ingest_metrics": ingest_metrics,
     }

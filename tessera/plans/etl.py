@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera import scratch
 from tessera.functions.cleaning import clean
 from tessera.plans import fuse, resolve, warehouse
-from tessera.sources import audit, files, raw, snapshots
+from tessera.sources import audit, files, observations, raw, snapshots
 
 _INCOMPLETE = ", ".join(f"{c} {'BIGINT' if c == 'ord' else 'STRING'}" for c in [*fuse.FUSED, "missing"])
 
@@ -50,7 +50,10 @@ def _log_load(spark: SparkSession, root: str, version: int) -> None:
     )
     log = counts.unionByName(refused).withColumn("at", F.current_timestamp())
     message = F.format_string("version %d: %d rows, %s", F.lit(version), "n", "step")
-    audit.append(audit.entries(log, "at", F.col("level"), F.lit("load"), message), f"{root}/log")
+    entries = audit.entries(log, "at", F.col("level"), F.lit("load"), message)
+    audit.append(entries, f"{root}/log", f"load-{version}")
+    seen = log.select("at", F.concat_ws(" ", "level", "step").alias("metric"), F.col("n").cast("double").alias("value"))
+    observations.write(seen.withColumnRenamed("at", "ts"), f"{root}/metrics", f"load-{version}")
 
 
 @dataclass(frozen=True)

@@ -127,16 +127,15 @@ def incomplete_persons(**fragments: DataFrame) -> DataFrame:
     return incomplete(all_persons(**fragments))
 
 
-def completeness_totals(personal: DataFrame, incomplete: DataFrame) -> DataFrame:
-    """One row: how many persons are complete, and how many lack each fragment."""
+def completeness_totals(persons: DataFrame) -> DataFrame:
+    """One row over ``all_persons``: how many are complete, and how many lack each fragment."""
     lacking = [
         F.count_if(F.array_contains(F.split("missing", ","), f)).alias(f"missing_{f}")
         for f in FRAGMENTS
     ]
-    marked = personal.select("ord").join(incomplete.select("ord", "missing"), "ord", "left")
-    return marked.agg(
+    return persons.agg(
         F.count(F.lit(1)).alias("persons"),
-        F.count_if(F.col("missing").isNull()).alias("complete"),
-        F.count("missing").alias("incomplete"),
+        F.count_if(F.col("missing") == "").alias("complete"),
+        F.count_if(F.col("missing") != "").alias("incomplete"),
         *lacking,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import scratch
 from tessera.functions.text import truthy
 from tessera.operators.components import components, value_links
 from tessera.operators.keyed import first_per_key, spread_group
@@ -70,6 +71,7 @@ def group_records(
     ``present`` names an array column of the message fields a record has; a field in it may be
     null and then overwrites. Without it, a null field counts as absent.
     """
+    records = scratch.materialise(records, "records")  # read by the links, the clusters and the merge
     grouped = records.join(clusters(records, record_id, keys, link_mode), record_id)
 
     def has(f: str):

@@ -1,4 +1,4 @@
-"""The audit log: one JSON line per step and batch, in a folder per day."""
+"""The audit log: one JSON line per step and batch, in a folder per batch and day."""
 
 from __future__ import annotations
 
@@ -18,9 +18,14 @@ def entries(df: DataFrame, ts: str, level, source, message) -> DataFrame:
     )
 
 
-def append(log: DataFrame, path: str) -> None:
-    log.write.mode("append").partitionBy("day").json(path)
+def append(log: DataFrame, path: str, batch: str) -> None:
+    """Write the entries of one batch to a folder of its own; a retried batch replaces itself."""
+    (
+        log.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
+        .json(f"{path}/batch_id={batch}")
+    )
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ENTRY).option("basePath", path).json(path)
+    stored = spark.read.schema(f"{ENTRY}, batch_id STRING").option("basePath", path).json(path)
+    return stored.drop("batch_id")

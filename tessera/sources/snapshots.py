@@ -59,8 +59,16 @@ def write_tables(
     return version
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
-    """Replace a database table with a snapshot of it; the driver jar is the caller's."""
-    df.write.format("jdbc").options(url=url, dbtable=table, truncate="true", **options).mode(
-        "overwrite"
-    ).save()
+def write_jdbc(df: DataFrame, url: str, table: str, key: str, **options: str) -> str:
+    """Replace the staging table ``<table>_incoming`` of a database, and return the statement that
+    upserts it into ``table``, for the database to run in one transaction: no table with foreign keys is
+    emptied. The driver jar is the caller's."""
+    staging = f"{table}_incoming"
+    df.write.format("jdbc").options(url=url, dbtable=staging, **options).mode("overwrite").save()
+    return upsert_statement(df.columns, table, staging, key)
+
+
+def upsert_statement(columns: list[str], table: str, staging: str, key: str) -> str:
+    names = ", ".join(columns)
+    changed = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c != key)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({key}) DO UPDATE SET {changed}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.sources import audit, raw
+from tessera.sources import audit, observations, raw
 from tessera.sources.messages import decode, quarantined, storable
 from tessera.streaming.dedup import BUCKETS, ttl_dedup_stream
 
@@ -28,9 +28,18 @@ def ingest(
 ) -> StreamingQuery:
     """Store each message that is not a repeat. A failed batch is retried as a whole: it writes
     to the folder of its own number, so nothing is lost and nothing is stored twice."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        raw.write_batch(df, f"{store}/fragments", batch)
+        stored = raw.read_fragments(df.sparkSession, f"{store}/fragments").where(F.col("batch_id") == batch)
+        observations.write(
+            observations.counted(stored, "ingest_ts", F.concat(F.lit("stored "), "fragment_type")),
+            f"{store}/metrics", f"stored-{batch}",
+        )
+
     return (
         accepted_messages(messages, buckets)
-        .writeStream.foreachBatch(lambda df, n: raw.write_batch(df, f"{store}/fragments", n))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{checkpoint}/ingest")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -52,14 +61,19 @@ def quarantine(
 
 
 def audit_batches(
-    messages: DataFrame, log: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame, store: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """One log entry per batch, step and outcome, with the number of messages."""
+    """One log entry per batch, step and outcome, with the number of messages, and the same numbers as
+    metrics. Received less stored less refused messages of a type are the repeats."""
 
     def write(df: DataFrame, batch: int) -> None:
+        decoded = decode(df)
+        step = F.coalesce("reason", F.concat(F.lit("received "), "fragment_type"))
+        observations.write(
+            observations.counted(decoded, "ingest_ts", step), f"{store}/metrics", f"received-{batch}"
+        )
         counted = (
-            decode(df)
-            .groupBy(F.coalesce("fragment_type", F.lit("none")).alias("step"), "reason")
+            decoded.groupBy(F.coalesce("fragment_type", F.lit("none")).alias("step"), "reason")
             .agg(F.count(F.lit(1)).alias("n"), F.max("ingest_ts").alias("at"))
         )
         message = F.format_string("batch %d: %d %s messages", F.lit(batch), "n", "step")
@@ -70,7 +84,7 @@ def audit_batches(
                 F.lit("ingest"),
                 F.concat_ws(", ", message, "reason"),
             ),
-            log,
+            f"{store}/log", f"ingest-{batch}",
         )
 
     return (

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.sources import audit, files, messages, raw
+from tessera.sources import audit, files, messages, observations, raw
 from tessera.streaming import dedup, ingest, jobs
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -100,7 +100,7 @@ def test_ingest_merges_over_batches(spark, tmp_path):
     source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
     ingest.ingest(source, store, check, buckets=8).awaitTermination()
     ingest.quarantine(source, store, check).awaitTermination()
-    ingest.audit_batches(source, f"{store}/log", check).awaitTermination()
+    ingest.audit_batches(source, store, check).awaitTermination()
     people = raw.collections(spark, f"{store}/fragments")["personal"].collect()
     assert [(r.ord, r.passport, r.name, r.sex, r.email) for r in people] == [(1, "P1", "Ana", None, "a")]
     fragments = raw.read_fragments(spark, f"{store}/fragments")
@@ -112,6 +112,11 @@ def test_ingest_merges_over_batches(spark, tmp_path):
     assert {r.day for r in log} == {"2024-01-01"}
     assert "batch 0: 2 personal messages" in {r.message for r in log}
     assert sum(r.level == "ERROR" for r in log) == 2
+    totals = {}
+    for r in observations.read(spark, f"{store}/metrics").collect():
+        totals[r.metric] = totals.get(r.metric, 0) + r.value
+    assert totals == {"received personal": 3, "received unknown": 2, "stored personal": 2, "stored unknown": 2,
+                      "not a JSON object": 1, "no key": 1}
 
 
 def test_a_retried_batch_replaces_itself(spark, tmp_path):
