@@ -8,8 +8,9 @@ A window is ``unit.window`` neighbouring units (bytes or words) of one text. The
    are one row with its places.
 3. ``_searched``: an anchor's segments meet in one task, which gathers small blocks of them and has
    ``search`` find the windows they share. Blocks and all arrays over them are bounded.
-4. ``_windows``: the windows of an anchor with more than ``BLOCK_BYTES`` of different segments do not
-   go through ``search``; they are compared one by one, by hashes of 128 bits, in sorted order.
+4. An anchor with more than ``BLOCK_BYTES`` of different segments does not go through ``search`` there. Its
+   segments are cut again by a longer gram, whose anchors are searched in a second round. Where even
+   these are too many, ``_windows`` compares windows one by one, by hashes of 128 bits, in sorted order.
 
 Equal texts take part once, under the least id and the number of their copies. Texts are told apart by
 96 bits of hashes. Nothing depends on the order of rows, and every task can be run again.
@@ -22,6 +23,7 @@ from typing import Any, NamedTuple, Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,8 +93,9 @@ class Words:
         return Cut(data, starts, ends, hashes, bounds[:-1], np.diff(bounds))
 
 
-def cut_segments(unit: Unit, cut: Cut) -> Segments:
-    return segments(Prefix(cut.hashes).grams(unit.gram), cut.begins, cut.lengths, unit.window, unit.gram)
+def cut_segments(unit: Unit, cut: Cut, gram: int | None = None) -> Segments:
+    gram = gram or unit.gram
+    return segments(Prefix(cut.hashes).grams(gram), cut.begins, cut.lengths, unit.window, gram)
 
 
 def keyed(docs: DataFrame, text: str, doc: str) -> DataFrame:
@@ -221,104 +224,158 @@ def _bounds(row: np.ndarray, n: int) -> tuple[list[int], list[int]]:
     return edges[:-1], edges[1:]
 
 
-_FOUND = "route long, h long, least long, copies int, k long, pos int, n int"
-_NAMES = ["route", "h", "least", "copies", "k", "pos", "n"]
-
-
-def _searched(pieces: DataFrame, unit: Unit, search: Search, parts: int, block_bytes: int) -> DataFrame:
-    """Rows of ``_FOUND``: a run of ``n`` windows from ``pos`` of text ``k``; or, with ``n`` 0, one window of an
-    anchor that is too large, by its hashes ``route`` and ``h``."""
-
-    def run(batches):
-        block: dict[bytes, Piece] = {}  # whole anchors
-        group: dict[bytes, Piece] = {}  # the anchor being read
-        size = group_size = group_places = 0
-        current: Any = None
-        large = False
-        out = _Rows()
-
-        def add(into: dict[bytes, Piece], piece: Piece) -> int:
-            held = into.get(piece.data)
-            if held is None:
-                into[piece.data] = piece
-                return len(piece.data)
-            held.places.extend(piece.places)
-            into[piece.data] = Piece(
-                held.data, min(held.least, piece.least), min(2, held.copies + piece.copies), held.places
-            )
-            return 0
-
-        def search_block() -> None:
-            pieces_ = list(block.values())
-            for piece, runs in zip(pieces_, search(pieces_), strict=True):
-                for start, n, least in runs:
-                    for k, pos, own in piece.places:
-                        if least < own or not unit.directed:
-                            out.add(k, 0, least, 0, k, pos + start, n)
-
-        for batch in batches:
-            columns = (batch.column(i).to_pylist() for i in range(5))
-            for anchor, data, least, copies, places in zip(*columns, strict=True):
-                if anchor != current:
-                    if size + group_size > block_bytes:
-                        search_block()
-                        block, size = {}, 0
-                    # Segments of different anchors have no window in common, so none is equal.
-                    block.update(group)
-                    size += group_size
-                    current, group, group_size, group_places, large = anchor, {}, 0, 0, False
-                piece = Piece(data, least, copies, [(p["k"], p["pos"], p["own"]) for p in places])
-                if large:
-                    _apart(unit, piece, out)
-                else:
-                    group_size += add(group, piece) + 16 * len(places)
-                    group_places += len(places)
-                    if group_size > block_bytes and len(group) > 1 or group_places > MOST_PLACES:
-                        for held in group.values():
-                            _apart(unit, held, out)
-                        group, group_size, large = {}, 0, True
-                while len(out) > 1 << 16:
-                    yield out.batch()
-        if size + group_size > block_bytes:
-            search_block()
-            block = {}
-        block.update(group)
-        search_block()
-        yield out.batch()
-
-    return pieces.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(run, _FOUND)
+_FOUND = "route long, h long, least long, copies int, k long, pos int, n int, data binary"
+_KINDS = [
+    ("route", pa.int64()), ("h", pa.int64()), ("least", pa.int64()), ("copies", pa.int32()), ("k", pa.int64()),
+    ("pos", pa.int32()), ("n", pa.int32()), ("data", pa.binary()),
+]
 
 
 class _Rows:
     """Rows of ``_FOUND`` to be handed out as a batch."""
 
     def __init__(self):
-        self.columns: list[list[int]] = [[] for _ in _NAMES]
+        self.columns: list[list] = [[] for _ in _KINDS]
+        self.size = 0
 
-    def add(self, *values: int) -> None:
+    def add(self, *values) -> None:
         for column, value in zip(self.columns, values, strict=True):
             column.append(value)
+        self.size += 64 + len(values[-1] or b"")
 
-    def __len__(self) -> int:
-        return len(self.columns[0])
+    def full(self) -> bool:
+        return self.size > 4 << 20
 
     def batch(self) -> pa.RecordBatch:
-        kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.int32(), pa.int32()]
         made = pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(self.columns, kinds, strict=True)], names=_NAMES
+            [pa.array(c, t) for c, (_, t) in zip(self.columns, _KINDS, strict=True)], names=[n for n, _ in _KINDS]
         )
-        self.columns = [[] for _ in _NAMES]
+        self.__init__()
         return made
 
 
-def _apart(unit: Unit, piece: Piece, out: _Rows) -> None:
-    """Each window of a segment as a row of its own, under a hash of 128 bits."""
-    cut = unit.cut([piece.data])
-    first = Prefix(cut.hashes).grams(unit.window).view(np.int64).tolist()
-    second = Prefix(cut.hashes * np.uint64(0xC2B2AE3D27D4EB4F) ^ (cut.hashes >> np.uint64(7)))
-    for start, (a, b) in enumerate(zip(first, second.grams(unit.window).view(np.int64).tolist(), strict=True)):
-        for k, pos, own in piece.places:
-            out.add(a, b, own, piece.copies, k, pos + start, 0)
+class _Blocks:
+    """Gathers whole anchors to blocks for ``search``; hands the pieces of too large ones to ``apart``."""
+
+    def __init__(self, unit: Unit, search: Search, limit: int, apart: Callable[[Piece, _Rows], None]):
+        self.unit, self.search, self.limit, self.apart = unit, search, limit, apart
+        self.out = _Rows()
+        self.block: dict[bytes, Piece] = {}
+        self.group: dict[bytes, Piece] = {}  # the anchor being read
+        self.size = self.group_size = self.group_places = 0
+        self.current: Any = None
+        self.large = False
+
+    def add(self, anchor: int, piece: Piece) -> None:
+        if anchor != self.current:
+            self._next_anchor()
+            self.current = anchor
+        if self.large:
+            self.apart(piece, self.out)
+            return
+        held = self.group.get(piece.data)
+        if held is None:
+            self.group[piece.data] = piece
+            self.group_size += len(piece.data)
+        else:
+            held.places.extend(piece.places)
+            self.group[piece.data] = Piece(
+                held.data, min(held.least, piece.least), min(2, held.copies + piece.copies), held.places
+            )
+        self.group_size += 16 * len(piece.places)
+        self.group_places += len(piece.places)
+        if self.group_size > self.limit and len(self.group) > 1 or self.group_places > MOST_PLACES:
+            for held in self.group.values():
+                self.apart(held, self.out)
+            self.group, self.group_size, self.large = {}, 0, True
+
+    def _next_anchor(self) -> None:
+        if self.size + self.group_size > self.limit:
+            self._search()
+        # Segments of different anchors have no window in common, so none is equal.
+        self.block.update(self.group)
+        self.size += self.group_size
+        self.group, self.group_size, self.group_places, self.large = {}, 0, 0, False
+
+    def _search(self) -> None:
+        pieces = list(self.block.values())
+        for piece, runs in zip(pieces, self.search(pieces), strict=True):
+            for start, n, least in runs:
+                for k, pos, own in piece.places:
+                    if least < own or not self.unit.directed:
+                        self.out.add(k, 0, least, 0, k, pos + start, n, None)
+        self.block, self.size = {}, 0
+
+    def finish(self) -> None:
+        self._next_anchor()
+        self._search()
+
+
+def _cut_again(unit: Unit) -> Callable[[Piece, _Rows], None]:
+    """The second round's segments of a piece, each as a row with its bytes; ``h`` tells them from windows."""
+    gram = (unit.gram + unit.window + 1) // 2
+
+    def apart(piece: Piece, out: _Rows) -> None:
+        cut = unit.cut([piece.data])
+        found = cut_segments(unit, cut, gram)
+        data = cut.data.tobytes()
+        for first, last, anchor in zip(
+            found.first.tolist(), found.last.tolist(), found.anchor.view(np.int64).tolist(), strict=True
+        ):
+            part = data[int(cut.starts[first]) : int(cut.ends[last + unit.window - 1])]
+            for k, pos, own in piece.places:
+                out.add(anchor, 0, own, piece.copies, k, pos + first, 0, part)
+
+    return apart
+
+
+def _one_by_one(unit: Unit) -> Callable[[Piece, _Rows], None]:
+    """Each window of a piece as a row of its own, under a hash of 128 bits."""
+
+    def apart(piece: Piece, out: _Rows) -> None:
+        cut = unit.cut([piece.data])
+        first = Prefix(cut.hashes).grams(unit.window).view(np.int64).tolist()
+        other = Prefix(cut.hashes * np.uint64(0xC2B2AE3D27D4EB4F) ^ (cut.hashes >> np.uint64(7)))
+        for start, (a, b) in enumerate(zip(first, other.grams(unit.window).view(np.int64).tolist(), strict=True)):
+            for k, pos, own in piece.places:
+                out.add(a, b, own, piece.copies, k, pos + start, 0, None)
+
+    return apart
+
+
+def _searched(pieces: DataFrame, unit: Unit, search: Search, parts: int, block_bytes: int) -> DataFrame:
+    """Rows of ``_FOUND``: a run of ``n`` windows from ``pos`` of text ``k``; or, with ``n`` 0, one window of an
+    anchor that is too large in both rounds, by its hashes ``route`` and ``h``."""
+
+    def first_round(batches):
+        blocks = _Blocks(unit, search, block_bytes, _cut_again(unit))
+        for batch in batches:
+            columns = (batch.column(i).to_pylist() for i in range(5))
+            for anchor, data, least, copies, places in zip(*columns, strict=True):
+                blocks.add(anchor, Piece(data, least, copies, [(p["k"], p["pos"], p["own"]) for p in places]))
+                if blocks.out.full():
+                    yield blocks.out.batch()
+        blocks.finish()
+        yield blocks.out.batch()
+
+    def second_round(batches):
+        blocks = _Blocks(unit, search, block_bytes, _one_by_one(unit))
+        for batch in batches:
+            again = pc.equal(batch.column("n"), 0)
+            yield batch.filter(pc.invert(again))  # runs pass
+            rows = batch.filter(again)
+            for route, _, own, copies, k, pos, _, data in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                blocks.add(route, Piece(data, own, copies, [(k, pos, own)]))
+                if blocks.out.full():
+                    yield blocks.out.batch()
+        blocks.finish()
+        yield blocks.out.batch()
+
+    return (
+        pieces.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(first_round, _FOUND)
+        .repartition(parts, "route").sortWithinPartitions("route").mapInArrow(second_round, _FOUND)
+        .drop("data")
+    )
 
 
 def _windows(found: DataFrame, unit: Unit, parts: int) -> DataFrame:
