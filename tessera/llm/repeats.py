@@ -441,7 +441,8 @@ def shared_windows(
     wanted = texts.join(_anchored(rows, unit, parts), "k")
     chosen = (
         rows.join(wanted, ["k", "crc"])
-        .where(F.col("doc").eqNullSafe(F.col("first")))
+        # Not as an equality: that would become a join key, and the shuffle of texts one of its own.
+        .where((F.col("doc") <= F.col("first")) | F.col("first").isNull())
         .select("text", "k", "ords", F.coalesce("first", F.lit((1 << 63) - 1)).alias("least"), "copies")
     )
     found = _searched(_pieces(chosen, unit), unit, search, parts, block_bytes)
