@@ -302,6 +302,11 @@ def oracles() -> dict[str, str]:
         "route_fragments": "SELECT ord, fragment_type, reason FROM decoded",
         "fingerprint_groups": """SELECT min(ord) AS first_ord, count(*) AS messages FROM decoded
             WHERE content IS NOT NULL GROUP BY content""",
+        "sql_functions": """SELECT p.ord, p.name, p.telfnumber, l.address,
+              coalesce(p.name <> '' AND p.last_name <> '' AND contains(lower(l.fullname), lower(trim(p.name)))
+                AND contains(lower(l.fullname), lower(trim(p.last_name))), false) AS named,
+              coalesce(l.address <> '', false) AS same_address
+            FROM c_personal p JOIN c_location l ON p.ord = l.ord""",
         "flatten_prefix": f"SELECT record_id, {_FLAT} FROM records",
         "name_in_fullname": """SELECT ord, location_ord FROM person_location""",
         "incomplete_persons": "SELECT * FROM incomplete",

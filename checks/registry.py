@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.oracles import STORED_PERSONS
 from checks.views import spark_view, table
 from tessera import schema, scratch
+from tessera.functions import udfs
 from tessera.functions.cleaning import clean
 from tessera.operators import metrics
 from tessera.operators.dedup import ttl_dedup
@@ -182,6 +183,17 @@ def persons_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.pruned_json(serve.persons_by(_load(spark, sf_dir).tables))
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalar functions in plain SQL, over persons and their places."""
+    udfs.register(spark)
+    for name in ("personal", "location"):
+        spark_view(spark, sf_dir, f"fx_{name}").createOrReplaceTempView(f"sql_{name}")
+    return spark.sql("""SELECT p.ord, clean_name(p.name) AS name, clean_phone(p.telfnumber) AS telfnumber,
+          clean_address(l.address) AS address, names_in_fullname(clean_name(p.name), p.last_name, l.fullname) AS named,
+          address_match(l.address, upper(l.address) || ' ') AS same_address
+        FROM sql_personal p JOIN sql_location l ON p.ord = l.ord""")
+
+
 def any_key_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = _load(spark, sf_dir).tables["persons"]
     return resolve.any_key_matches(_incomplete(spark, sf_dir), "ord", persons, "passport")
@@ -394,6 +406,7 @@ def queries() -> dict[str, Query]:
         "raw_upsert_net": _merged("net"),
         "unknown_dedup": unknown_dedup,
         "quarantine": quarantine,
+        "sql_functions": sql_functions,
         "stream_raw_upsert": stream_raw_upsert,
         "rolling_mean_1m": rolling_mean_1m,
         "stream_rolling_mean": stream_rolling_mean,

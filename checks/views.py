@@ -62,7 +62,8 @@ VIEWS = {
           s_name AS company, 'Av, ' || s_name AS company_address,
           '+1.' || CAST(s_suppkey AS STRING) || ' ext 9' AS company_telfnumber,
           lower(s_name) || '@corp.example' AS company_email, c_mktsegment AS job
-        FROM customer JOIN supplier ON s_suppkey = c_custkey % 10""",
+        FROM (SELECT *, c_custkey % (SELECT max(s_suppkey) + 1 FROM supplier) AS employer FROM customer) c
+        JOIN supplier ON s_suppkey = employer""",
     "fx_bank": f"""
         SELECT c_custkey AS ord,
           CASE WHEN c_custkey % 7 = 6 THEN NULL ELSE {_PASSPORT} END AS passport,
