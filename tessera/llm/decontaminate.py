@@ -110,6 +110,8 @@ class Index:
 
     def __init__(self, found: list[Passage]):
         self.passages = found
+        self.edits = np.array([p.edits for p in found], np.int64)
+        self.needed = np.array([p.needed for p in found], np.int64)
         keys, owners, places = [], [], []
         for number, passage in enumerate(found):
             key = _key(*grams(passage.text))
@@ -145,8 +147,7 @@ def regions(index: Index, at: np.ndarray, owner: np.ndarray, place: np.ndarray):
     asks for."""
     if not len(at):
         return
-    edits = np.array([p.edits for p in index.passages])[owner]
-    needed = np.array([p.needed for p in index.passages])[owner]
+    edits = index.edits[owner]
     diagonal = at - place + PASSAGE  # never negative
     # Bands start every BAND diagonals and reach 2k + 1 into the next.
     own = diagonal // BAND
@@ -161,12 +162,15 @@ def regions(index: Index, at: np.ndarray, owner: np.ndarray, place: np.ndarray):
     new_place = new_band | np.concatenate([[True], where[1:] != where[:-1]])
     starts = np.flatnonzero(new_band)
     sizes = np.add.reduceat(new_place.astype(np.int64), starts)
-    limit = np.zeros(len(index.passages), np.int64)
-    limit[owner] = needed
     ends = np.append(starts[1:], len(who))
     along = np.concatenate([diagonal, diagonal[early]])[order] - PASSAGE
-    for k in np.flatnonzero(sizes >= limit[who[starts]]).tolist():
-        values, times = np.unique(along[starts[k] : ends[k]], return_counts=True)
+    for k in np.flatnonzero(sizes >= index.needed[who[starts]]).tolist():
+        # Within k edits the hits lie on k + 1 neighbouring diagonals, so some such run has enough.
+        near = np.sort(along[starts[k] : ends[k]])
+        reach = np.searchsorted(near, near + index.passages[who[starts[k]]].edits, side="right")
+        if (reach - np.arange(len(near))).max() < index.needed[who[starts[k]]]:
+            continue
+        values, times = np.unique(near, return_counts=True)
         yield int(who[starts[k]]), int(band[starts[k]]) * BAND - PASSAGE, int(values[times.argmax()])
 
 
@@ -195,6 +199,8 @@ def align(passage: np.ndarray, text: np.ndarray, first: int, width: int, edits:
         source = np.maximum.accumulate(np.where(best - diagonals == run, diagonals, -1))
         through = run + diagonals
         origin = np.where(through < best, origin[source], origin)
+        if best.min() > edits:
+            return None
         cost, start = np.where((ends >= 0) & (ends <= len(text)), np.minimum(best, through), far), origin
     found = int(cost.argmin())
     if cost[found] > edits:
@@ -279,10 +285,14 @@ def scanned(index: Index, texts: list[bytes]):
     ends = np.append(bounds[1:], len(low))
     inside = at + Q <= ends[row]
     at, owner, place, row = at[inside], owner[inside], place[inside], row[inside]
-    order = np.argsort(row, kind="stable")
-    at, owner, place, row = at[order], owner[order], place[order], row[order]
+    # Bands can only reach the bound where the whole text does.
+    _, pair, times = np.unique(row * np.int64(len(index.passages) + 1) + owner, return_inverse=True, return_counts=True)
+    enough = times[pair] >= index.needed[owner]
+    at, owner, place, row = at[enough], owner[enough], place[enough], row[enough]
     if not len(row):
         return
+    order = np.argsort(row, kind="stable")
+    at, owner, place, row = at[order], owner[order], place[order], row[order]
     cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(row)], strict=True):
         number = int(row[a])
