@@ -1,7 +1,6 @@
 import json
 from datetime import datetime, timedelta, timezone
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
