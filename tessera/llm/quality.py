@@ -45,7 +45,7 @@ RULES = [
     Rule("word_length", "word_chars", "n_words", 300, 1000),
     Rule("symbols", "n_symbols", "n_words", None, 10),
     Rule("stop_words", "n_stop_words", "n_words", 2, None),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 30),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 40),
 ]
 
 COUNTS = [
