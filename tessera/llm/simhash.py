@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import scratch
-from tessera.llm.texts import hexed, per_row
+from tessera.llm.texts import hexed, per_row, whole_text
 from tessera.operators.components import stars
 
 SEED = 42
@@ -65,9 +65,11 @@ def fingerprint(text: bytes, shingle_words: int = 4) -> tuple[int]:
     return (int(bits.view("<i8")[0]),)
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """``(doc, fp)``, one row per row of ``docs``."""
-    return per_row(docs, [doc], text, lambda x: fingerprint(x, shingle_words), "fp long")
+def fingerprints(
+    docs: DataFrame, shingle_words: int = 4, text: str = "text", doc: str = "doc_id", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(doc, *carry, fp)``, one row per row of ``docs``."""
+    return per_row(docs, [doc, *carry], text, lambda x: fingerprint(x, shingle_words), "fp long")
 
 
 def segment_counts(fp: np.ndarray) -> np.ndarray:
@@ -245,25 +247,29 @@ def links(distinct: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
 
 
 def near_duplicates(
-    docs: DataFrame, shingle_words: int = 4, distance: int = 4, text: str = "text", doc: str = "doc_id"
+    docs: DataFrame, shingle_words: int = 4, distance: int = 4, text: str = "text", doc: str = "doc_id",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc, fp, component_id)``: the least id among all documents linked, over any number of steps."""
-    made = scratch.materialise(fingerprints(docs, shingle_words, text, doc), "fingerprints")
+    """``(doc, *carry, fp, component_id)``: the least id among all documents linked, over any number of steps."""
+    made = scratch.materialise(fingerprints(docs, shingle_words, text, doc, carry), "fingerprints")
     first = scratch.materialise(made.groupBy("fp").agg(F.min(doc).alias("__first")), "distinct-fingerprints")
     found = stars(links(first.select("fp"), distance)).select(F.col("child").alias("fp"), "parent")
     rooted = first.join(found, "fp", "left").withColumn("__root", F.coalesce("parent", "fp"))
     least = rooted.groupBy(F.xxhash64("__root").alias("__spread"), "__root").agg(F.min("__first").alias("component_id"))
     members = rooted.select("fp", "__root").join(least.drop("__spread"), "__root").select("fp", "component_id")
-    return made.join(members, "fp").select(doc, "fp", "component_id")
+    return made.join(members, "fp").select(doc, *carry, "fp", "component_id")
 
 
 def representatives(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
-    """One document of each component, with all columns: the one of the least id, of rows with that
-    id the first text in order; documents without an id are never dropped."""
-    found = near_duplicates(docs, shingle_words, distance)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """The rows with the least id of their own component, with all columns. Each text of an id is judged by
+    its own component; repeated rows stay as often as they occur, and rows without an id are never dropped."""
+    told = ("__text64", "__text32")  # texts of one id are told apart by 96 bits
+    text = whole_text()
+    marked = docs.withColumns({told[0]: F.xxhash64(text), told[1]: F.crc32(text.cast("binary"))})
+    found = near_duplicates(marked, shingle_words, distance, carry=told)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id", *told).distinct()
+    named = marked.where(F.col("doc_id").isNotNull()).join(kept, ["doc_id", *told], "left_semi")
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def with_hex(found: DataFrame) -> DataFrame:

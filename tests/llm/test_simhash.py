@@ -98,3 +98,10 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 7, 7, 11, None], key=str)
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_each_text_of_an_id_is_judged_by_its_own_component(spark):
+    a, b = ("one two three four five six seven", "red green blue black white grey pink")
+    rows = [(1, a, "first"), (5, a.upper(), "copy of 1"), (5, b, "first of its kind"), (6, b, "copy of 5")]
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string, note string"))
+    assert sorted(r["note"] for r in kept.collect()) == ["first", "first of its kind"]
