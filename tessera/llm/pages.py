@@ -1,11 +1,12 @@
 """Main text of web pages by consensus paths per host.
 
-1. Each page's containers are scored by their text outside links and boilerplate; the tightest one that
-   holds most of it is the page's choice.
+1. Each page's containers are scored by their text outside links and boilerplate; the path of the tightest
+   ones that leave no text but boilerplate (and blocks that are mostly links) outside is the page's choice.
+   Nothing below an ``article`` or ``main`` is chosen.
 2. Spark sums the scores per host and generalised path (tags and classes from the root, without digits);
    a host's ``RANKS`` best paths win. A choice counts with its text, so odd pages do not decide.
-3. Each page is extracted again, from all containers on the first winning path that it has; a page with
-   none of them falls back to its own choice.
+3. Each page is extracted again, from all containers on the first winning path that leaves no such text
+   outside on this page either; a page with none of them falls back to its own choice.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are known by
 tag, role or class words (a class word does not count around an ``article`` or ``main``), and lists that are
@@ -234,16 +235,34 @@ def skipped(page: Page) -> list[bool]:
     return found
 
 
-def choice(page: Page, skip: list[bool]) -> tuple[int, int]:
-    """``(container, score)``: the tightest container with most of the text outside links; 0 if none."""
+def solid(page: Page, skip: list[bool]) -> list[int]:
+    """Characters in each node's blocks, its own and those below, that are neither skipped nor mostly links."""
+    found = [0] * len(page.nodes)
+    for node, text, linked, _ in page.blocks:
+        if not skip[node] and 2 * linked < len(text):
+            found[node] += len(text)
+    for k in range(len(page.nodes) - 1, 0, -1):
+        found[page.nodes[k].parent] += found[k]
+    return found
+
+
+def choice(page: Page, skip: list[bool]) -> tuple[str, int]:
+    """``(path, score)``: the path of the tightest containers that leave nothing but boilerplate outside, not
+    tighter than an article or main, and their text outside links; the empty path is the whole page."""
     nodes, blocks = page
+    held = solid(page, skip)
     good = [0] * len(nodes)
     for node, text, linked, _ in blocks:
         if not skip[node]:
             good[node] += max(0, len(text) - linked)
     below: dict[int, list[int]] = {}
-    for k in range(len(nodes) - 1, 0, -1):
-        good[nodes[k].parent] += good[k]
+    covered: dict[str, int] = {}
+    points: dict[str, int] = {}
+    for k in range(len(nodes) - 1, -1, -1):
+        if k:
+            good[nodes[k].parent] += good[k]
+        covered[nodes[k].path] = covered.get(nodes[k].path, 0) + held[k]
+        points[nodes[k].path] = points.get(nodes[k].path, 0) + good[k]
     for k in range(1, len(nodes)):
         up = nodes[k].parent
         while up and nodes[up].tag not in _CONTAINERS:
@@ -252,10 +271,9 @@ def choice(page: Page, skip: list[bool]) -> tuple[int, int]:
             below.setdefault(up, []).append(k)
     at = 0
     while True:
-        best = max(below.get(at, []), key=good.__getitem__, default=0)
-        share = 0.5 if best and nodes[best].tag in ("article", "main") else 0.8
-        if not best or not good[best] or good[best] < share * good[at]:
-            return at, good[at]
+        best = max(below.get(at, []), key=held.__getitem__, default=0)
+        if nodes[at].tag in ("article", "main") or not best or not held[best] or covered[nodes[best].path] < held[0]:
+            return nodes[at].path, points[nodes[at].path]
         at = best
 
 
@@ -268,14 +286,19 @@ def extracted(page: Page, skip: list[bool], roots: set[int]) -> str:
 
 
 def main_text(html: str, paths: list[str]) -> str:
-    """The text on the first of ``paths`` that the page has, else of its own choice."""
+    """The text on the first of ``paths`` that holds all text of the page but boilerplate, else on its own choice."""
     page = parse(html)
     skip = skipped(page)
+    held = solid(page, skip)
+
+    def on(path: str) -> set[int]:
+        return {k for k, n in enumerate(page.nodes) if n.path == path and not skip[k]}
+
     for path in paths:
-        roots = {k for k, n in enumerate(page.nodes) if n.path == path and not skip[k]}
-        if roots and (text := extracted(page, skip, roots)):
+        roots = on(path)
+        if roots and sum(held[k] for k in roots) == held[0] and (text := extracted(page, skip, roots)):
             return text
-    return extracted(page, skip, {choice(page, skip)[0]})
+    return extracted(page, skip, on(choice(page, skip)[0]))
 
 
 def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -286,9 +309,9 @@ def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
             found: dict[tuple[str, str], int] = {}
             for host, raw in zip(batch.column("host").to_pylist(), as_bytes(batch.column("html")), strict=True):
                 page = parse(raw.decode())
-                node, points = choice(page, skipped(page))
+                path, points = choice(page, skipped(page))
                 if points:
-                    key = (host, page.nodes[node].path)
+                    key = (host, path)
                     found[key] = found.get(key, 0) + points
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in found], pa.string()), pa.array([p for _, p in found], pa.string()),

@@ -71,3 +71,16 @@ def test_odd_rows(spark):
     assert len(got) == 7 and got[(1, None)] == "" and got[(None, "http://a.example/")] == "x" == got[(3, "http://a.example/")]
     assert len(got[(2, "no host")]) == 249999 and got[(5, "http://a.example")] == "deep"
     assert pages.texts(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("outer,inner", [("article", "div"), ("div", "div"), ("main", "article"), ("div", "article")])
+def test_title_and_lead_beside_the_body_stay(spark, outer, inner):
+    nav, body = '<nav><a href="/">Home</a></nav>', "word " * 200 + "end."
+    whole = f'<body>{nav}<{outer}><h1>Title</h1><p>lead</p><{inner} class="entry"><p>{body}</p></{inner}></{outer}></body>'
+    bare = f'<body>{nav}<{outer}><{inner} class="entry"><p>{body}</p></{inner}></{outer}></body>'
+    parts = f'<body>{nav}' + f'<div class="part"><p>{body}</p></div>' * 2 + '</body>'
+    rows = [(1, "http://a.example/1", whole), (2, "http://b.example/2", whole), (7, "http://c.example/7", parts)]
+    rows += [(k, f"http://b.example/{k}", bare) for k in (3, 4, 5, 6)]
+    got = {r["page_id"]: r["text"] for r in pages.texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    kept = f"Title\nlead\n{body}"
+    assert got == {1: kept, 2: kept, **dict.fromkeys((3, 4, 5, 6), body), 7: f"{body}\n{body}"}
