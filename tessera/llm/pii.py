@@ -51,7 +51,7 @@ _SPELLED = re.compile(
 )
 _SECRET = re.compile(
     r"\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth|bearer)\b"
-    r"\x20{0,2}[=:]\x20{0,2}[\"']?([A-Za-z0-9+/_=-]{8,256})",
+    r"\x20{0,2}[=:]\x20{0,2}[\"']?([A-Za-z0-9+/_=-]{8,})",
     re.IGNORECASE,
 )
 _SECRET_NAME = re.compile(r"token|secret|passw|pwd|key|auth|bearer", re.IGNORECASE)

@@ -71,3 +71,12 @@ def test_odd_rows(spark):
     assert sorted((r["text"] or "")[-8:] for r in masked.collect()) == sorted(["", "", "<EMAIL>", "x x <IP>", "x x <IP>"])
     assert pii.detected(docs.limit(0)).collect() == []
     assert pii.mask("ab cd", [pii.Span(0, 0, 2), pii.Span(1, 2, 4)]) == "<EMAIL>d"
+
+
+def test_long_secrets_are_masked_whole(spark):
+    long = "".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(60))
+    rows = [(k, f"here token = {hashlib.sha1(str(k).encode()).hexdigest()} and more") for k in range(60)]
+    docs = spark.createDataFrame([*rows, (99, f"here token = {long} and more")], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.detected(docs).collect()}
+    assert got[99] == f"secret:13:{13 + len(long)}"
+    assert pii.masked(docs).where("doc_id = 99").first()["text"] == "here token = <SECRET> and more"
