@@ -41,7 +41,7 @@ class Rule(NamedTuple):
 
 # Thresholds in hundredths.
 RULES = [
-    Rule("length", "n_words", "1", 50 * 100, 100_000 * 100),
+    Rule("length", "n_words", "1", 50 * 100, None),
     Rule("word_length", "word_chars", "n_words", 300, 1000),
     Rule("symbols", "n_symbols", "n_words", None, 10),
     Rule("stop_words", "n_stop_words", "n_words", 2, None),

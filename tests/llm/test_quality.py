@@ -65,3 +65,10 @@ def test_empty_table(docs):
 def test_no_python_in_the_plan(docs):
     plan = quality.judged(docs.select("doc_id", "text").where("doc_id > 0"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "PythonUDF"))
+
+
+def test_long_clean_documents_are_kept(spark):
+    text = "\n".join(f"the word{i} and of thing{i}" for i in range(21_000))
+    long = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(r) for r in quality.judged(long).select("n_words", "broken", "kept").collect()] == [(105_000, [], True)]
+    assert quality.passing(long).count() == 1
