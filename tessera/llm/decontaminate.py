@@ -2,8 +2,11 @@
 
 Texts are compared as UTF-8 bytes after folding: A-Z become a-z, every run of ASCII characters other
 than letters and digits becomes one space, other bytes stay. Each item is cut into passages of
-``PASSAGE`` bytes every ``PASSAGE / 2`` (the last one ends with the item; a shorter item is one passage). A document holds a
-passage if a part of it is within ``floor(len / EDIT_SHARE)`` edits (insert, delete, replace) of it.
+``PASSAGE`` bytes every ``PASSAGE / 2`` (the last one ends with the item; a shorter item is one passage), and into windows
+of ``WINDOW`` bytes every ``STRIDE`` for excerpts that have no whole passage. A document holds a
+passage or window if a part of it is within ``floor(len / EDIT_SHARE)`` edits (insert, delete, replace) of it.
+Of an item of at least ``WINDOW`` bytes every excerpt of ``WINDOW + STRIDE - 1`` = 79 bytes is found for certain, of a
+shorter one the whole. Items shorter than ``MIN_ITEM`` are found without edits only, as whole words.
 
 1. Q-gram lemma: a part within k edits shares at least ``len + 1 - q * (k + 1)`` q-grams with the
    passage, and all of them lie on at most 2k + 1 neighbouring diagonals (place in the document less place
@@ -17,7 +20,7 @@ The benchmark is scanned for in blocks of at most ``BLOCK_BYTES`` of folded text
 block is what is sent to the executors, and its size is bounded by that. A block is one pass over
 the documents.
 
-Defined cases: null or blank items and items shorter than ``MIN_ITEM`` folded bytes are never found (they
+Defined cases: null or blank items and items shorter than ``Q`` folded bytes are never found (one or two words, they
 would match clean documents); null texts hold nothing; rows with a null id give hits with a null id;
 repeated rows give equal hits, repeated items a hit each; extra columns are ignored.
 """
@@ -36,6 +39,8 @@ from tessera.llm.texts import as_bytes, slices
 
 Q = 12
 PASSAGE = 128
+WINDOW = 64
+STRIDE = 16
 EDIT_SHARE = 16
 BAND = 64
 MIN_ITEM = 40
@@ -89,6 +94,7 @@ class Passage(NamedTuple):
     item: int
     text: np.ndarray
     edits: int
+    window: bool = False
 
     @property
     def needed(self) -> int:
@@ -99,10 +105,14 @@ def passages(item: int, text: bytes) -> list[Passage]:
     body, _ = folded(np.frombuffer(text, np.uint8))
     body = np.frombuffer(body.tobytes().strip(), np.uint8)
     if len(body) < MIN_ITEM:
-        return []
+        return [Passage(item, body, 0)] if len(body) >= Q else []
     starts = [*range(0, len(body) - PASSAGE, PASSAGE // 2), max(0, len(body) - PASSAGE)]
     cut = [body[s : s + PASSAGE] for s in starts]
-    return [Passage(item, x, len(x) // EDIT_SHARE) for x in cut]
+    found = [Passage(item, x, len(x) // EDIT_SHARE) for x in cut]
+    if len(body) > WINDOW:
+        starts = [*range(0, len(body) - WINDOW, STRIDE), len(body) - WINDOW]
+        found += [Passage(item, body[s : s + WINDOW], WINDOW // EDIT_SHARE, True) for s in starts]
+    return found
 
 
 class Index:
@@ -208,6 +218,19 @@ def align(passage: np.ndarray, text: np.ndarray, first: int, width: int, edits:
     return int(cost[found]), int(start[found]), int(first + found + len(passage))
 
 
+def whole_words(passage: np.ndarray, text: np.ndarray, first: int, width: int):
+    """The first place of ``passage`` as whole words on ``width`` diagonals from ``first``, as ``align`` gives it."""
+    size = len(passage)
+    for at in range(max(0, first), min(first + width, len(text) - size + 1)):
+        if (
+            np.array_equal(text[at : at + size], passage)
+            and (at == 0 or not _ALNUM[text[at - 1]])
+            and (at + size == len(text) or not _ALNUM[text[at + size]])
+        ):
+            return 0, at, at + size
+    return None
+
+
 def blocks(items: DataFrame, item: str, text: str, limit: int):
     """The items in order of id, as lists of passages of at most ``limit`` bytes each.
 
@@ -232,7 +255,8 @@ def hits(
 ) -> DataFrame:
     """``(doc, item, edits, start, end)`` for each document that holds a passage of an item.
 
-    ``start`` and ``end`` are byte places in the text of the passage with the fewest edits.
+    ``start`` and ``end`` are byte places in the text of the passage with the fewest edits, or of the
+    window with the fewest where no passage is found.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col(doc), F.col(text).alias("__text"))
@@ -298,20 +322,23 @@ def scanned(index: Index, texts: list[bytes]):
         number = int(row[a])
         begin, end = int(bounds[number]), int(ends[number])
         text = low[begin:end]
-        best: dict[int, tuple[int, int, int]] = {}
+        best: dict[int, tuple[bool, int, int, int]] = {}
         for which, first, likely in regions(index, at[a:b] - begin, owner[a:b], place[a:b]):
             passage = index.passages[which]
-            if best.get(passage.item, (1,))[0] == 0:
+            held = best.get(passage.item)
+            if held and (held[1] == 0 or passage.window > held[0]):
                 continue
             size = len(passage.text)
-            if likely >= 0 and np.array_equal(text[likely : likely + size], passage.text):
+            if not passage.edits:
+                hit = whole_words(passage.text, text, first, BAND + 1)
+            elif likely >= 0 and np.array_equal(text[likely : likely + size], passage.text):
                 hit = (0, likely, likely + size)
             else:
                 width = BAND + 4 * passage.edits + 1
                 hit = align(passage.text, text, first - passage.edits, width, passage.edits)
-            if hit and hit < best.get(passage.item, (1 << 20, 0, 0)):
-                best[passage.item] = hit
-        for item, (edits, start, stop) in best.items():
+            if hit and (not held or (passage.window, *hit) < held):
+                best[passage.item] = (passage.window, *hit)
+        for item, (_, edits, start, stop) in best.items():
             own = places[begin:end] - begins[number]
             last = int(own[stop - 1]) + 1 if stop > 0 else 0
             yield number, (item, edits, int(own[min(start, len(own) - 1)]), last)

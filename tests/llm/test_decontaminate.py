@@ -96,3 +96,20 @@ def test_odd_rows(spark):
     assert [r["doc_id"] for r in D.clean(docs, bench).orderBy("doc_id").collect()] == [1, 2]
     assert D.clean(docs, bench).columns == docs.columns
     assert D.hits(docs.limit(0), bench).collect() == [] == D.hits(docs, bench.limit(0)).collect()
+
+
+def test_excerpts_of_79_bytes_are_found_wherever_they_start():
+    rng = random.Random(7)
+    words = "".join(rng.choice("abcdefghij    ") for _ in range(500))
+    for size in (90, 128, 235, 394):
+        item = fold(words)[:size].strip()
+        index = D.Index(D.passages(1, item))
+        texts = [b"before " + item[at : at + 79] + b" after" for at in range(len(item) - 78)]
+        assert {row for row, _ in D.scanned(index, texts)} == set(range(len(texts)))
+
+
+def test_short_items_are_found_whole_and_as_words():
+    index = D.Index([*D.passages(1, b"Who wrote Emma?"), *D.passages(2, b"Yes.")])
+    texts = [b"ask: who  wrote EMMA, then", b"who wrote emma", b"who wrote emmas", b"xwho wrote emma who wrote emma", b"yes", b"who wrote"]
+    assert [row for row, (item, *_) in D.scanned(index, texts) if item == 1] == [0, 1, 3]
+    assert not [row for row, (item, *_) in D.scanned(index, texts) if item == 2]
