@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, pages, pii, quality, sentencepiece, sharding, simhash, substrings, suffixes, toxicity
+from tessera.llm import (
+    chat, decontaminate, negatives, pages, pii, quality, resample, sentencepiece, sharding, simhash, substrings, suffixes,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +67,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.texts(table(spark, sf_dir, "pages"))
 
 
+def with_marks(conversations: DataFrame) -> DataFrame:
+    """``conversations`` and conversation -1, whose texts look like a template's marks."""
+    marks = conversations.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return conversations.select("conv_id", "turn", "role", "text").unionByName(marks)
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(with_marks(table(spark, sf_dir, "conversations")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -79,4 +104,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_pii": op9_pii,
         "op10_html_extraction": op10_html_extraction,
+        "op11_chat_formatting": op11_chat_formatting,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_hard_negatives": op13_hard_negatives,
     }
