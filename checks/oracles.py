@@ -268,6 +268,14 @@ _WINDOW_ROWS = """SELECT metric, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS wi
       round(CAST(total AS DOUBLE) / observations, 6) AS mean FROM windows"""
 
 
+# Queries that come to the result of another one step by step.
+_SAME = {
+    "ttl_dedup_split_keys": "ttl_dedup_null_keys",
+    "grown_people": "group_records_all_keys",
+    "grown_people_by_value": "group_records_by_value",
+}
+
+
 def oracles() -> dict[str, str]:
     key_melt = _melt("incomplete", "ord", _NAME_KEYS)
     person_melt = _melt("persons", "passport", ["passport", "email", "last_name"])
@@ -351,6 +359,7 @@ def oracles() -> dict[str, str]:
             WHERE records > 1""",
         "group_records": _grouped(_STRONG_KEYS),
         "group_records_by_value": _grouped(_NAME_KEYS, "value"),
+        "group_records_all_keys": _grouped(_NAME_KEYS),
         "lookup_passport": """askers AS (SELECT ord, fullname, address, passport FROM joined)
             SELECT a.ord, (SELECT arg_min(b.passport, b.ord) FROM askers b WHERE b.ord <> a.ord
               AND b.passport <> '' AND ((a.fullname <> '' AND b.fullname = a.fullname)
@@ -389,6 +398,15 @@ def oracles() -> dict[str, str]:
                 f"SELECT '{t}' AS fragment_type, * FROM ({_merged('accepted', t, *f)})"
                 for t, f in fragment_fields.items()
             ),
+        "folded_collections": "SELECT * FROM (" + " UNION ALL BY NAME ".join(
+            [f"SELECT '{t}' AS fragment_type, * FROM ({_merged('decoded', t, *f)})" for t, f in fragment_fields.items()]
+            + ["SELECT 'unknown' AS fragment_type, min(ord) AS ord, arg_min(value, ord) AS value FROM decoded"
+               " WHERE fragment_type = 'unknown' GROUP BY content"]
+        ) + ")",
+        "stored_warehouse": "SELECT * FROM (" + " UNION ALL BY NAME ".join(
+            f"SELECT '{t}' AS stored_in, * FROM {t}"
+            for t in ("locations", "persons", "bank_data", "network_data", "professional_data")
+        ) + ")",
         "ingest_metrics": _arrivals(
             "(SELECT * FROM decoded WHERE reason IS NULL)", "content", "ingest_ts", "ord",
             "n.fragment_type", "CASE WHEN ord >= 2000000000 THEN 0 WHEN ord >= 1000000000 THEN 1 ELSE 2 END",
@@ -428,4 +446,5 @@ def oracles() -> dict[str, str]:
             CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
             'step' AS source, event_type || ' by ' || CAST(user_id AS VARCHAR) AS message FROM events""",
     }
+    bodies |= {name: bodies[other] for name, other in _SAME.items()}
     return {name: _sql(body) for name, body in bodies.items()}

@@ -14,9 +14,9 @@ from tessera.functions import udfs
 from tessera.functions.cleaning import clean
 from tessera.operators import metrics
 from tessera.operators.dedup import ttl_dedup
-from tessera.plans import fuse, resolve, serve, warehouse
+from tessera.plans import fuse, people, resolve, serve, warehouse
 from tessera.session import STATE_STORE
-from tessera.sources import audit, files, messages, observations, raw, snapshots
+from tessera.sources import audit, collected, files, messages, observations, raw, snapshots
 from tessera.streaming import ingest, jobs
 from tessera.streaming.dedup import ttl_dedup_stream
 
@@ -265,11 +265,7 @@ def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages.file_messages(spark, incoming, max_files_per_trigger=1), store,
         scratch.new_path(spark, "checkpoint"), buckets=LOCAL_BUCKETS,
     ).awaitTermination()
-    whole = None
-    for name, df in raw.collections(spark, f"{store}/fragments").items():
-        df = df.withColumn("fragment_type", F.lit(name))
-        whole = df if whole is None else whole.unionByName(df, allowMissingColumns=True)
-    return whole
+    return _all_of(raw.collections(spark, f"{store}/fragments"), "fragment_type")
 
 
 def ttl_dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,6 +275,69 @@ def ttl_dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accepted_events(ttl_dedup(events, ["user_id", "event_type"], "ts", "event_id"))
 
 
+def ttl_dedup_split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``ttl_dedup_null_keys``, with every key of more than a hundred moments split by time."""
+    user = F.when(F.col("event_id") % 3 > 0, F.col("user_id"))
+    events = _events(spark, sf_dir).withColumn("user_id", user)
+    found = ttl_dedup(events, ["user_id", "event_type"], "ts", "event_id", hot_moments=100)
+    return _accepted_events(found)
+
+
+def folded_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All collections after three batches: events, then orders, then customers, each folded into the base."""
+    store = scratch.new_path(spark, "store")
+    fragments = scratch.materialise(messages.storable(_decoded(spark, sf_dir)), "fragments")
+    for n in range(3):
+        raw.write_batch(fragments.where(F.expr(_SOURCE) == n), f"{store}/fragments", n)
+        collected.fold(spark, store)
+    return _all_of({
+        kind: collected.collection(spark, store, kind).drop("fingerprint")
+        for kind in [*schema.FRAGMENT_FIELDS, schema.UNKNOWN]
+    }, "fragment_type")
+
+
+def _all_of(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    whole = None
+    for kind, df in tables.items():
+        df = df.withColumn(name, F.lit(kind))
+        whole = df if whole is None else whole.unionByName(df, allowMissingColumns=True)
+    return whole
+
+
+def group_records_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By all identifying keys, so that given names make very large groups."""
+    return resolve.group_records(_records(spark, sf_dir), "record_id", FIELDS)
+
+
+def _grown(keys: list[str], link_mode: str = "key_value") -> Query:
+    """The people after three batches of records, in an order that links old groups late."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        records = scratch.materialise(_records(spark, sf_dir), "records")
+        state = scratch.new_path(spark, "people")
+        for n, third in enumerate((2, 0, 1)):
+            people.advance(
+                records.where(F.col("record_id") % 3 == third), state, n, "record_id", FIELDS, keys, link_mode
+            )
+        return people.people(spark, state, FIELDS)
+
+    return run
+
+
+def stored_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables after two loads into one warehouse: the first half of the persons with old values, then all."""
+    fused = scratch.materialise(_fused(spark, sf_dir), "fused")
+    half = fused.agg(F.expr("(min(ord) + max(ord)) div 2")).first()[0] or 0
+    old = fused.where(F.col("ord") <= half).withColumns(
+        {"telfnumber": F.lit(None).cast("string"), "salary": F.lit("0$"), "job": F.lit("Old")}
+    )
+    root = scratch.new_path(spark, "warehouse")
+    for part in (old, fused):
+        load = warehouse.load_warehouse(part, snapshots.read_tables(spark, root), stored=True)
+        snapshots.upsert_tables(load.changes, root)
+    return _all_of(snapshots.read_tables(spark, root), "stored_in")
+
+
 def unknown_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(schema.UNKNOWN)(spark, sf_dir).select("ord", "value")
 
@@ -392,12 +451,18 @@ def queries() -> dict[str, Query]:
         "any_key_links": any_key_links,
         "components_incomplete": components_incomplete,
         "group_records": group_records,
+        "group_records_all_keys": group_records_all_keys,
+        "grown_people": _grown(schema.IDENTIFYING_KEYS),
+        "grown_people_by_value": _grown(schema.IDENTIFYING_KEYS, "value"),
+        "folded_collections": folded_collections,
+        "stored_warehouse": stored_warehouse,
         "group_records_by_value": group_records_by_value,
         "lookup_passport": lookup_passport,
         "lookup_location_id": lookup_location_id,
         "lookup_person_priority": lookup_person_priority,
         "ttl_dedup_events": ttl_dedup_events,
         "ttl_dedup_null_keys": ttl_dedup_null_keys,
+        "ttl_dedup_split_keys": ttl_dedup_split_keys,
         "stream_ttl_dedup": stream_ttl_dedup,
         "raw_upsert_merge": _merged("personal"),
         "raw_upsert_bank": _merged("bank"),

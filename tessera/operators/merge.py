@@ -24,6 +24,35 @@ def merge_fields(
     )
 
 
+def stamp(field: str) -> str:
+    """The column that tells by which row a field was set last."""
+    return f"{field}__at"
+
+
+def stamped_fields(
+    df: DataFrame, keys: list[str], fields: list[str], order: str, present: dict[str, Column]
+) -> DataFrame:
+    """As ``merge_fields``, with the order of the row that set each field beside it, so that more rows can be merged in
+    later, in any order of arrival."""
+    own = [f for f in fields if f not in keys]
+    set_by = {f: F.when(present[f], F.col(order)) for f in own}
+    return df.groupBy(*keys).agg(
+        F.min(order).alias(order), F.max(order).alias(f"last_{order}"),
+        *[F.max_by(f, set_by[f]).alias(f) for f in own],
+        *[F.max(set_by[f]).alias(stamp(f)) for f in own],
+    )
+
+
+def merge_stamped(df: DataFrame, keys: list[str], fields: list[str], order: str) -> DataFrame:
+    """Rows of ``stamped_fields`` of the same keys as one."""
+    own = [f for f in fields if f not in keys]
+    return df.groupBy(*keys).agg(
+        F.min(order).alias(order), F.max(f"last_{order}").alias(f"last_{order}"),
+        *[F.max_by(f, stamp(f)).alias(f) for f in own],
+        *[F.max(stamp(f)).alias(stamp(f)) for f in own],
+    )
+
+
 def last_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key, nulls included."""
     return first_per_key(df, keys, [F.desc(order)])

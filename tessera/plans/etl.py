@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from tessera import scratch
 from tessera.functions.cleaning import clean
 from tessera.plans import fuse, resolve, warehouse
-from tessera.sources import audit, files, observations, raw, snapshots
+from tessera.sources import audit, collected, files, observations, snapshots
 
 _INCOMPLETE = ", ".join(f"{c} {'BIGINT' if c == 'ord' else 'STRING'}" for c in [*fuse.FUSED, "missing"])
 
 
 def load(spark: SparkSession, store: str, root: str) -> int:
-    """Fuse the stored fragments, upsert the complete persons, and keep the others and the refused
-    rows next to the new warehouse version. Returns the version."""
-    parts = {t: clean(df) for t, df in raw.collections(spark, f"{store}/fragments").items()}
+    """Fold new batches into the collections, fuse these, upsert the complete persons, and keep the others and the
+    refused rows next to the new warehouse version. Returns the version."""
+    collected.fold(spark, store)
+    parts = {t: clean(df) for t, df in collected.collections(spark, store).items()}
     persons = scratch.materialise(fuse.all_persons(**parts), "all-persons")
     result = warehouse.load_warehouse(
         fuse.complete(persons), snapshots.read_tables(spark, root), stored=True
@@ -28,7 +29,7 @@ def load(spark: SparkSession, store: str, root: str) -> int:
         files.write_json(fuse.incomplete(persons), f"{root}/incomplete/version={version}")
         result.rejected.write.mode("overwrite").parquet(f"{root}/rejected/version={version}")
 
-    version = snapshots.write_tables(result.tables, root, beside)
+    version = snapshots.upsert_tables(result.changes, root, beside)
     _log_load(spark, root, version)
     return version
 

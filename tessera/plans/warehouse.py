@@ -23,9 +23,10 @@ REJECTED = ["target", "ord", "passport", "violated"]
 
 @dataclass(frozen=True)
 class Load:
-    """The warehouse tables after a load, and the rows it refused."""
+    """The warehouse tables after a load, the rows it put into them, and the rows it refused."""
 
     tables: dict[str, DataFrame]
+    changes: dict[str, DataFrame]
     rejected: DataFrame
 
 
@@ -70,15 +71,20 @@ def locations_of(fused: DataFrame) -> DataFrame:
     )
 
 
-def load_locations(fused: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Get or create: the known locations and a row, with the next ids, for each new one."""
+def new_locations(fused: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """A row, with the next ids, for each location that is not known yet."""
     seen = spread_group(
         check.accepted(locations_of(fused)), ["address", "city"], F.min("ord").alias("ord")
     )
     if existing is not None:
         seen = seen.join(existing, ["address", "city"], "left_anti")
     created = numbered(seen, "ord", "location_id", _max_id(existing, "location_id"))
-    created = created.select("location_id", "address", "city")
+    return created.select("location_id", "address", "city")
+
+
+def load_locations(fused: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Get or create: the known locations and the new ones."""
+    created = new_locations(fused, existing)
     return created if existing is None else existing.unionByName(created)
 
 
@@ -115,8 +121,8 @@ def _check_child(
     return check.check_unique(checked, unique, "passport_fk", "ord", existing)
 
 
-def _upsert_child(rows: DataFrame, existing: DataFrame | None, id_column: str) -> DataFrame:
-    """Replace by ``passport_fk``; a stored row keeps its id, a new one gets the next."""
+def _with_ids(rows: DataFrame, existing: DataFrame | None, id_column: str) -> DataFrame:
+    """Rows to replace by ``passport_fk``: a stored one keeps its id, a new one gets the next."""
     if existing is None:
         return numbered(rows, "ord", id_column)
     rows = rows.join(existing.select("passport_fk", id_column), "passport_fk", "left")
@@ -125,7 +131,7 @@ def _upsert_child(rows: DataFrame, existing: DataFrame | None, id_column: str) -
         rows.where(F.col(id_column).isNull()).drop(id_column),
         "ord", id_column, _max_id(existing, id_column),
     )
-    return upsert_rows(existing, stored.unionByName(fresh).drop("ord"), ["passport_fk"])
+    return stored.unionByName(fresh).drop("ord")
 
 
 def _shape(df: DataFrame, table: str) -> DataFrame:
@@ -157,13 +163,15 @@ def load_warehouse(
     existing = existing or {}
     if not stored:
         fused = scratch.materialise(fused, "fused")
-    locations = scratch.materialise(load_locations(fused, existing.get("locations")), "locations")
+    created = scratch.materialise(new_locations(fused, existing.get("locations")), "locations")
+    locations = existing["locations"].unionByName(created) if "locations" in existing else created
     fused = with_location_id(fused, locations)
     old = existing.get("persons")
     persons = scratch.materialise(check_persons(fused, old), "persons")
     accepted = _shape(check.accepted(persons), "persons")
     known = accepted if old is None else upsert_rows(old, accepted, ["passport"])
     tables = {"locations": locations, "persons": known}
+    changes = {"locations": created, "persons": accepted}
     rejected = [
         _rejects(locations_of(fused), "locations", "passport"),
         _rejects(persons, "persons", "passport"),
@@ -174,11 +182,10 @@ def load_warehouse(
             _check_child(rows_of(fused), table, required, unique, known.select("passport"), held),
             f"checked-{table}",
         )
-        tables[table] = _shape(
-            _upsert_child(check.accepted(checked).drop("violated"), held, id_column), table
-        )
+        changes[table] = _shape(_with_ids(check.accepted(checked).drop("violated"), held, id_column), table)
+        tables[table] = changes[table] if held is None else upsert_rows(held, changes[table], ["passport_fk"])
         rejected.append(_rejects(checked, table, "passport_fk"))
     whole = rejected[0]
     for part in rejected[1:]:
         whole = whole.unionByName(part)
-    return Load(tables, whole)
+    return Load(tables, changes, whole)

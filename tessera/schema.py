@@ -67,6 +67,12 @@ WAREHOUSE = {
                          " company_email STRING, job_title STRING",
 }
 
+# The column by which a row of each warehouse table is replaced.
+WAREHOUSE_KEY = {
+    "locations": ["location_id"], "persons": ["passport"], "bank_data": ["passport_fk"],
+    "network_data": ["passport_fk"], "professional_data": ["passport_fk"],
+}
+
 # How long a message blocks its repeats.
 DEDUP_SECONDS = 86_400
 

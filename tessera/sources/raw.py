@@ -1,7 +1,8 @@
 """The raw store: every accepted message, in one folder per batch and fragment type.
 
 Batches are only ever added, so a batch costs what it brings and a retry replaces its own
-folder. The collections are the field-level merge over all batches, taken at read time.
+folder. The collections are the field-level merge over all batches: ``merged`` takes it at read time,
+``tessera.sources.collected`` keeps it.
 """
 
 from __future__ import annotations
@@ -36,6 +37,22 @@ def read_fragments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).option("basePath", path).parquet(path)
 
 
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches that are written in full."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    done = [s.getPath().getName() for s in fs.listStatus(folder) if fs.exists(s.getPath().suffix("/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done if n.startswith("batch_id="))
+
+
+def read_batches(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
+    """The fragments of some batches; the folders of others are not looked at."""
+    folders = [f"{path}/batch_id={n}" for n in numbers]
+    return spark.read.schema(STORED).option("basePath", path).parquet(*folders)
+
+
 def merged(fragments: DataFrame, fragment_type: str) -> DataFrame:
     """One collection as of the last batch, one row per key, in order of first arrival."""
     rows = fragments.where(F.col("fragment_type") == fragment_type)

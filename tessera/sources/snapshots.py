@@ -1,4 +1,5 @@
-"""Versioned snapshots of the warehouse: a load reads one version and writes the next."""
+"""Versioned snapshots of the warehouse: a load reads one version and writes the next, of which only the buckets
+with changed rows are new files."""
 
 from __future__ import annotations
 
@@ -7,58 +8,62 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera import schema
-
-_MARKER = "_COMMITTED"
-
-
-def _path(spark: SparkSession, *parts: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(parts))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+from tessera.sources import buckets
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """The last version that was written in full."""
-    fs, path = _path(spark, root)
-    if not fs.exists(path):
-        return None
-    versions = [
-        int(s.getPath().getName().split("=")[1])
-        for s in fs.listStatus(path)
-        if s.getPath().getName().startswith("version=")
-        and fs.exists(_path(spark, s.getPath().toString(), _MARKER)[1])
-    ]
-    return max(versions, default=None)
+    return buckets.latest(spark, root)
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of the latest version; none before the first load."""
-    version = latest_version(spark, root)
-    if version is None:
-        return {}
-    return {
-        t: spark.read.schema(ddl).parquet(f"{root}/version={version}/{t}")
-        for t, ddl in schema.WAREHOUSE.items()
-    }
+    held = buckets.load(spark, root, latest_version(spark, root)).tables
+    return {t: buckets.read(spark, root, held[t]) for t in schema.WAREHOUSE if t in held}
 
 
-def write_tables(
-    tables: dict[str, DataFrame], root: str, beside: Callable[[int], None] | None = None
+def _next(
+    spark: SparkSession, root: str, make: Callable[[dict[str, buckets.Table]], dict[str, buckets.Table]],
+    beside: Callable[[int], None] | None,
 ) -> int:
-    """Write the next version; it counts only once all tables are there, and what ``beside`` writes
-    for the same version."""
-    spark = next(iter(tables.values())).sparkSession
     last = latest_version(spark, root)
     version = 0 if last is None else last + 1
-    folder = f"{root}/version={version}"
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    tables = make(buckets.load(spark, root, last).tables)
     if beside:
         beside(version)
-    fs, marker = _path(spark, folder, _MARKER)
-    fs.create(marker, True).close()
+    buckets.commit(spark, root, version, tables)
     return version
 
 
+def _put(df: DataFrame, root: str, name: str, held: buckets.Table | None) -> buckets.Table:
+    return buckets.update(df, root, name, schema.WAREHOUSE_KEY[name], schema.WAREHOUSE[name], held)
+
+
+def write_tables(
+    tables: dict[str, DataFrame], root: str, beside: Callable[[int], None] | None = None
+) -> int:
+    """Write the next version, all of it anew; it counts only once all tables are there, and what ``beside`` writes
+    for the same version."""
+    spark = next(iter(tables.values())).sparkSession
+    return _next(spark, root, lambda held: {t: _put(df, root, t, None) for t, df in tables.items()}, beside)
+
+
+def upsert_tables(
+    changes: dict[str, DataFrame], root: str, beside: Callable[[int], None] | None = None
+) -> int:
+    """Write the next version with these rows put in by key. Rows that are stored already as they are change
+    nothing, and buckets without a changed row keep their files."""
+    spark = next(iter(changes.values())).sparkSession
+
+    def make(held: dict[str, buckets.Table]) -> dict[str, buckets.Table]:
+        made = dict(held)
+        for name, df in changes.items():
+            made[name] = _put(buckets.differing(df, root, held.get(name)), root, name, held.get(name))
+        return made
+
+    return _next(spark, root, make, beside)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, key: str, **options: str) -> str:
     """Replace the staging table ``<table>_incoming`` of a database, and return the statement that
     upserts it into ``table``, for the database to run in one transaction: no table with foreign keys is

@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions.cleaning import clean
 from tessera.operators.metrics import PANES, panes, windows
-from tessera.plans import etl
+from tessera.plans import etl, people
 from tessera.plans.resolve import group_records
 from tessera.scratch import materialise
-from tessera.sources import files, raw
+from tessera.sources import buckets, files, raw
 
 # The period of the analysis of incomplete persons.
 ANALYSIS_PERIOD = "20 seconds"
@@ -52,22 +51,31 @@ def people_so_far(fragments: DataFrame) -> DataFrame:
 
 
 def snapshot_people(fragments: DataFrame, path: str, number: int | str) -> None:
-    """Write the people as JSON and CSV; ``number`` is that of the batch, or ``final``."""
-    people = materialise(people_so_far(fragments), "people")
-    files.write_json(people, f"{path}/json/batch={number}")
-    files.write_csv(people, f"{path}/csv/batch={number}")
+    """Write the people of all these fragments as JSON and CSV; ``number`` is that of the batch, or ``final``."""
+    _export(materialise(people_so_far(fragments), "people"), path, number)
+
+
+def _export(merged: DataFrame, path: str, number: int | str) -> None:
+    files.write_json(merged, f"{path}/json/batch={number}")
+    files.write_csv(merged, f"{path}/csv/batch={number}")
 
 
 def snapshots(
     stream: DataFrame, store: str, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """A numbered snapshot of the people after each micro-batch of decoded fragments. The source's
-    rate limit (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``) sets the batch size."""
+    rate limit (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``) sets the batch size.
+
+    The people are kept in ``<path>/state``, so a batch links and merges its own records and the people they touch; only
+    the export writes them all."""
 
     def write(df: DataFrame, batch: int) -> None:
+        spark, state = df.sparkSession, f"{path}/state"
         raw.write_batch(df, store, batch)
-        seen = raw.read_fragments(df.sparkSession, store).where(F.col("batch_id") <= batch)
-        snapshot_people(seen, path, batch)
+        new = clean(raw.read_batches(spark, store, [batch]))
+        people.advance(new, state, batch, "ord", raw.FIELDS, present="present")
+        _export(people.people(spark, state, raw.FIELDS, batch), path, batch)
+        buckets.vacuum(spark, state)
 
     return (
         stream.writeStream.foreachBatch(write)

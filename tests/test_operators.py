@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import constraints, keyed, merge, metrics
+from tessera.operators import constraints, dedup, keyed, merge, metrics
 from tessera.operators.components import components, value_links
 from tessera.operators.containment import first_containing
 from tessera.operators.dedup import ttl_dedup
@@ -106,8 +106,28 @@ def test_ttl_dedup_equals_fold(spark):
     rows += [("gap", h, 5000 + h) for h in (0, 20, 24, 30, 50, 500)]
     rows = [(k, float(h), i) for k, h, i in rows]
     rows += [(None, float(rng.randrange(900)), 9000 + i) for i in range(200)]
-    got = ttl_dedup(hours(spark, rows + [("k1", None, 9999)]), ["k"], "ts", "ord")
-    assert sorted(r.ord for r in got.collect()) == fold(rows, 24)
+    given = hours(spark, rows + [("k1", None, 9999)])
+    for hot in (10**6, 100, 0):
+        got = ttl_dedup(given, ["k"], "ts", "ord", hot_moments=hot)
+        assert sorted(r.ord for r in got.collect()) == fold(rows, 24)
+    assert [(r.ord, r.reason) for r in dedup.untimed(given, "ts").collect()] == [(9999, "no time")]
+
+
+def test_hot_key_is_split_by_time(spark):
+    rng = random.Random(6)
+    rows = [(None, float(rng.randrange(-2400, 2400)), i) for i in range(3000)]
+    moments = hours(spark, rows).select(
+        F.lit("null").alias("__key"), F.unix_micros("ts").alias("__at"), F.col("ord").alias("__order")
+    ).dropDuplicates(["__at"])
+    following = dedup._following(moments, 24 * 3_600_000_000)
+    times = sorted({int(h) for _, h, _ in rows})
+    wanted = {h: min((x for x in times if x >= h + 24), default=None) for h in times}
+    hour = 3_600_000_000
+    assert {r["__at"] // hour: None if r.next is None else r.next // hour for r in following.collect()} == wanted
+    # What brings rows of a key together does so per slice; only the table of slices is dealt by the key alone.
+    plan = dedup._following(moments, 24 * hour)._jdf.queryExecution().executedPlan().toString()
+    alone = [x for x in plan.splitlines() if "hashpartitioning(__key" in x and "slice" not in x]
+    assert len(alone) == 1 and plan.count("hashpartitioning(__key") > 2
 
 
 def test_ttl_dedup_example(spark):
