@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,10 @@ def load(spark: SparkSession, store: str, root: str) -> int:
         files.write_json(fuse.incomplete(persons), f"{root}/incomplete/version={version}")
         result.rejected.write.mode("overwrite").parquet(f"{root}/rejected/version={version}")
 
+    began = time.time()
     version = snapshots.upsert_tables(result.changes, root, beside)
+    seconds = {"warehouse insert seconds": time.time() - began}
+    observations.write_durations(spark, seconds, f"{root}/metrics", f"durations-{version}")
     _log_load(spark, root, version)
     return version
 

@@ -20,6 +20,17 @@ def write(rows: DataFrame, path: str, batch: str) -> None:
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
 
 
+def write_durations(spark: SparkSession, seconds: dict[str, float], path: str, batch: str) -> None:
+    """Keep how long the steps of one batch took, as of now."""
+    rows = spark.createDataFrame([(m, float(s)) for m, s in seconds.items()], "metric STRING, value DOUBLE")
+    write(rows.select(F.current_timestamp().alias("ts"), "metric", "value"), path, batch)
+
+
+def durations(spark: SparkSession, path: str) -> DataFrame:
+    """The durations among the observations, for means, histograms and sums per step."""
+    return read(spark, path).where(F.col("metric").endswith(" seconds"))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.schema(f"{OBSERVATION}, batch_id STRING").option("basePath", path).parquet(path)
     return stored.drop("batch_id")

@@ -50,9 +50,22 @@ class TtlDedup(StatefulProcessor):
         # Rows come in chunks and in no order. Repeats of one moment go chunk by chunk.
         batch = pd.DataFrame()
         for chunk in rows:
-            at = chunk[self._ts].astype("datetime64[us]").astype("int64")
-            batch = pd.concat([batch, chunk.assign(**{_AT: at})]).sort_values([self._key, _AT, self._order])
-            batch = batch.drop_duplicates([self._key, _AT])
+            batch, _ = self._distinct(batch, chunk)
+        accepted = batch[self._taken(batch)]
+        if len(accepted):
+            yield accepted[self._columns]
+
+    def _distinct(self, batch: pd.DataFrame, chunk: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """All rows so far, in order, without repeats of one moment; and those repeats."""
+        at = chunk[self._ts].astype("datetime64[us]").astype("int64")
+        every = pd.concat([batch, chunk.assign(**{_AT: at})]).sort_values([self._key, _AT, self._order])
+        again = every.duplicated([self._key, _AT])
+        return every[~again], every[again]
+
+    def _taken(self, batch: pd.DataFrame) -> list[bool]:
+        """Which rows of the batch are accepted; the state learns of them."""
+        if batch.empty:
+            return []
         taken: list[bool] = []
         for name, times in batch.groupby(self._key, sort=False, dropna=False)[_AT]:
             # The state store has no null keys.
@@ -63,10 +76,9 @@ class TtlDedup(StatefulProcessor):
             taken += free
             if any(free):
                 self._accepted.updateValue(own, (after,))
-        accepted = batch[taken]
-        if len(accepted):
-            self._sweep(int(accepted[_AT].max()))
-            yield accepted[self._columns]
+        if any(taken):
+            self._sweep(int(batch[_AT][taken].max()))
+        return taken
 
     def _sweep(self, newest: int) -> None:
         held = self._swept.get()
@@ -93,6 +105,52 @@ class TtlDedup(StatefulProcessor):
         pass
 
 
+class TtlOutcomes(TtlDedup):
+    """As ``TtlDedup``, but every row comes out, with what became of it in the last column: ``stored``, ``repeat``, or
+    what it came with, for rows that were refused before. Repeats come out without the columns of ``dropped``."""
+
+    def __init__(self, *args, outcome: str, dropped: list[str]):
+        super().__init__(*args)
+        self._outcome, self._dropped = outcome, dropped
+
+    def _with(self, rows: pd.DataFrame, outcome: str) -> pd.DataFrame:
+        lean = rows if outcome != "repeat" else rows.assign(**{c: None for c in self._dropped})
+        return lean.assign(**{self._outcome: outcome})[self._columns]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.DataFrame()
+        for chunk in rows:
+            refused = chunk[self._outcome].notna()
+            if refused.any():
+                yield chunk[refused][self._columns]
+            batch, again = self._distinct(batch, chunk[~refused])
+            if len(again):
+                yield self._with(again, "repeat")
+        taken = pd.Series(self._taken(batch), index=batch.index, dtype=bool)
+        for outcome, rows_of in (("stored", batch[taken]), ("repeat", batch[~taken])):
+            if len(rows_of):
+                yield self._with(rows_of, outcome)
+
+
+def ttl_outcomes_stream(
+    stream: DataFrame, key: str, ts: str, order: str, outcome: str, dropped: list[str],
+    ttl_seconds: int = DEDUP_SECONDS, keep_seconds: int = RETENTION_SECONDS + DEDUP_SECONDS, buckets: int = BUCKETS,
+) -> DataFrame:
+    """All rows of a stream with their ``outcome`` (see ``TtlOutcomes``); rows that have one already pass by. They are
+    dealt by their order, as they may all lack a key."""
+    dealt = F.when(F.col(outcome).isNull(), F.xxhash64(key)).otherwise(F.xxhash64(order))
+    return (
+        stream.withColumn(_BUCKET, F.pmod(dealt, F.lit(buckets)))
+        .groupBy(_BUCKET)
+        .transformWithStateInPandas(
+            TtlOutcomes(key, ts, order, ttl_seconds, keep_seconds, stream.columns, outcome=outcome, dropped=dropped),
+            outputStructType=stream.schema,
+            outputMode="Append",
+            timeMode="None",
+        )
+    )
+
+
 def ttl_dedup_stream(
     stream: DataFrame,
     key: str,

@@ -1,14 +1,24 @@
-"""Messages to raw collections, continuously: decode, dedup, route, store, count."""
+"""Messages to raw collections, continuously: decode, dedup, route, store, count.
+
+``ingest_all`` is the whole of it in one query that reads the source once. ``ingest``, ``quarantine`` and
+``audit_batches`` are its parts as queries of their own, each with its own place in the source.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.sources import audit, observations, raw
+from tessera import scratch
+from tessera.sources import audit, buckets as versions, observations, raw
 from tessera.sources.messages import decode, quarantined, storable
-from tessera.streaming.dedup import BUCKETS, ttl_dedup_stream
+from tessera.streaming.dedup import BUCKETS, ttl_dedup_stream, ttl_outcomes_stream
+
+#: What became of a message, as it is kept until all outputs of its batch are written.
+_ARRIVED = "ord BIGINT, ingest_ts TIMESTAMP, value STRING, fragment_type STRING, outcome STRING"
 
 
 def accepted_messages(messages: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -93,3 +103,92 @@ def audit_batches(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def outcomes(messages: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Every message with its type and its outcome: ``stored``, ``repeat``, or why it is refused. Repeats come
+    without their text."""
+    decoded = decode(messages)
+    reason = F.coalesce("reason", F.when(F.col("ingest_ts").isNull(), "no time"))
+    narrow = decoded.select("ord", "ingest_ts", "value", "fragment_type", "fingerprint", reason.alias("outcome"))
+    found = ttl_outcomes_stream(
+        narrow, "fingerprint", "ingest_ts", "ord", "outcome", ["value"], buckets=buckets
+    )
+    return found.drop("fingerprint")
+
+
+def _write_outputs(spark: SparkSession, arrived: DataFrame, store: str, batch: int) -> dict[str, float]:
+    """All outputs of one batch, each in a folder of the batch; returns the seconds of the insert."""
+    began = time.time()
+    stored = arrived.where(F.col("outcome") == "stored").select("ord", "ingest_ts", "value")
+    raw.write_batch(storable(decode(stored)), f"{store}/fragments", batch)
+    inserted = time.time() - began
+    refused = ~F.col("outcome").isin("stored", "repeat")
+    arrived.where(refused).select("ord", "ingest_ts", "value", F.col("outcome").alias("reason")).write.mode(
+        "overwrite"
+    ).parquet(f"{store}/quarantine/batch_id={batch}")
+    kind = F.coalesce("fragment_type", F.lit("none"))
+    counted = scratch.materialise(
+        arrived.groupBy(kind.alias("kind"), "outcome").agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.max("ingest_ts"), F.current_timestamp()).alias("at")
+        ),
+        "outcomes",
+    )
+    bad = ~F.col("outcome").isin("stored", "repeat")
+    received = counted.where(~bad).groupBy(F.concat(F.lit("received "), "kind").alias("metric")).agg(
+        F.max("at").alias("ts"), F.sum("n").cast("double").alias("value")
+    )
+    kept = counted.where(F.col("outcome") != "repeat").groupBy(
+        F.when(bad, F.col("outcome")).otherwise(F.concat(F.lit("stored "), "kind")).alias("metric")
+    ).agg(F.max("at").alias("ts"), F.sum("n").cast("double").alias("value"))
+    observations.write(
+        received.unionByName(kept).select("ts", "metric", "value"), f"{store}/metrics", f"ingest-{batch}"
+    )
+    message = F.format_string("batch %d: %d %s messages, %s", F.lit(batch), "n", "kind", "outcome")
+    audit.append(
+        audit.entries(counted, "at", F.when(bad, "ERROR").otherwise("INFO"), F.lit("ingest"), message),
+        f"{store}/log", f"ingest-{batch}",
+    )
+    return {"raw insert seconds": inserted}
+
+
+def ingest_all(
+    messages: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, buckets: int = BUCKETS
+) -> StreamingQuery:
+    """Fragments, quarantine, audit log, counts and durations from one pass over the source.
+
+    A batch is first written as it arrived, with the outcome of each message; all outputs come from that. Each output
+    has a folder per batch, and the batch counts once its commit record is there. A batch that was cut off between two
+    outputs is done again as a whole and replaces what it left, so nothing is there in part or twice. Stored, repeated
+    and refused messages add up to those received.
+    """
+
+    def write(df: DataFrame, batch: int) -> None:
+        spark, began = df.sparkSession, time.time()
+        path = f"{store}/arrived/batch_id={batch}"
+        df.write.mode("overwrite").parquet(path)
+        seconds = {"send seconds": time.time() - began}
+        seconds |= _write_outputs(spark, spark.read.schema(_ARRIVED).parquet(path), store, batch)
+        observations.write_durations(spark, seconds, f"{store}/metrics", f"durations-{batch}")
+        versions.commit(spark, f"{store}/commits", batch, {}, seconds)
+        scratch.drop(spark, path)
+
+    return (
+        outcomes(messages, buckets)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/ingest-all")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def committed(spark: SparkSession, store: str) -> list[int]:
+    """The batches of ``ingest_all`` whose outputs are all there."""
+    return versions.versions(spark, f"{store}/commits")
+
+
+def read_quarantine(spark: SparkSession, store: str) -> DataFrame:
+    """The refused messages of all committed batches, with the reason."""
+    ddl = "ord BIGINT, ingest_ts TIMESTAMP, value STRING, reason STRING"
+    paths = [f"{store}/quarantine/batch_id={n}" for n in committed(spark, store)]
+    return spark.read.schema(ddl).parquet(*paths) if paths else spark.createDataFrame([], ddl)

@@ -2,7 +2,7 @@ import json
 
 from tessera import schema
 from tessera.plans import etl, serve
-from tessera.sources import audit, messages, raw, snapshots
+from tessera.sources import audit, messages, observations, raw, snapshots
 from tests.test_streaming import START
 
 
@@ -55,6 +55,8 @@ def test_store_to_warehouse_and_back(spark, tmp_path):
     assert set(persons) == {"P1", "P2"}
     refused = spark.read.parquet(f"{root}/rejected/version=1").collect()
     assert ("persons", "P3", "duplicate email") in {(r.target, r.passport, r.violated) for r in refused}
+    took = observations.durations(spark, f"{root}/metrics").collect()
+    assert [r.metric for r in took] == ["warehouse insert seconds"] * 2 and all(r.value > 0 for r in took)
     log = {r.message for r in audit.read(spark, f"{root}/log").collect()}
     assert "version 0: 2 rows, persons" in log
     assert "version 1: 1 rows, persons: duplicate email" in log

@@ -118,6 +118,50 @@ def test_ingest_merges_over_batches(spark, tmp_path):
                       "not a JSON object": 1, "no key": 1}
 
 
+def test_one_pass_survives_a_cut_between_outputs(spark, tmp_path, monkeypatch):
+    incoming, store, check = (str(tmp_path / p) for p in ("in", "store", "check"))
+    one = {"passport": "P1", "name": "Ana", "sex": ["F"], "email": "a"}
+    put(spark, incoming, [(1, 0, one), (2, 1, one), (3, 1, '{"bad'), (4, 1, {"IPv4": None})])
+    put(spark, incoming, [(5, 2, {"name": "Ana", "passport": "P1", "sex": None}), (6, 2, {"x": 1}), (7, 2, {"x": 1.5}),
+                          (8, 3, one), (9, 3, one)])
+    no_time = spark.createDataFrame([(10, None, json.dumps(one))], messages.MESSAGE)
+    no_time.coalesce(1).write.mode("append").parquet(incoming)
+    append, cut = audit.append, []
+
+    def once(log, path, batch):
+        if batch.endswith("-1") and not cut:
+            cut.append(batch)
+            raise RuntimeError("cut off")
+        append(log, path, batch)
+
+    monkeypatch.setattr(audit, "append", once)
+    source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
+    with pytest.raises(Exception, match="cut off"):
+        ingest.ingest_all(source, store, check, buckets=4).awaitTermination()
+    assert ingest.committed(spark, store) == [0] and (tmp_path / "store/fragments/batch_id=1").exists()
+    assert {r.ord for r in ingest.read_quarantine(spark, store).collect()} == {3, 4}
+    query = ingest.ingest_all(source, store, check, buckets=4)
+    query.awaitTermination()
+    assert cut and ingest.committed(spark, store) == [0, 1, 2]
+    # Whatever is written from it, a batch reads its messages once.
+    assert sum(p.numInputRows for p in query.recentProgress) == 6
+    fragments = raw.read_fragments(spark, f"{store}/fragments")
+    assert sorted(r.ord for r in fragments.collect()) == [1, 5, 6, 7]
+    refused = {r.ord: r.reason for r in ingest.read_quarantine(spark, store).collect()}
+    assert refused == {3: "not a JSON object", 4: "no key", 10: "no time"}
+    totals, took = {}, set()
+    for r in observations.read(spark, f"{store}/metrics").collect():
+        totals[r.metric] = totals.get(r.metric, 0) + r.value
+    took = {m for m in totals if m.endswith(" seconds")}
+    assert took == {"send seconds", "raw insert seconds"}
+    assert {m: n for m, n in totals.items() if m not in took} == {
+        "received personal": 5, "received unknown": 2, "stored personal": 2, "stored unknown": 2,
+        "not a JSON object": 1, "no key": 1, "no time": 1,
+    }
+    assert "batch 1: 2 personal messages, repeat" in {r.message for r in audit.read(spark, f"{store}/log").collect()}
+    assert not list((tmp_path / "store/arrived").glob("batch_id=*"))
+
+
 def test_a_retried_batch_replaces_itself(spark, tmp_path):
     store = str(tmp_path / "store")
     rows = [(1, START, '{"passport":"P","name":"a"}'), (2, START, '{"x":1}')]
