@@ -16,9 +16,10 @@ shorter one the whole. Items shorter than ``MIN_ITEM`` are found without edits o
 3. Each region is verified by banded alignment: edit distance with free ends in the document, over
    the band's diagonals only.
 
-The benchmark is scanned for in blocks of at most ``BLOCK_BYTES`` of folded text; the index of one
-block is what is sent to the executors, and its size is bounded by that. A block is one pass over
-the documents.
+The benchmark is scanned for in blocks of whole items, of ``BLOCK_BYTES`` of folded text (one item may be longer); the
+items of one block are what is sent to the executors. Their index holds each q-gram once per place in the items, whatever
+the passages that overlap there. A block is one pass over the documents. An item is never cut, so the
+result is the same for any size of blocks.
 
 Defined cases: null or blank items and items shorter than ``Q`` folded bytes are never found (one or two words, they
 would match clean documents); null texts hold nothing; rows with a null id give hits with a null id;
@@ -44,7 +45,7 @@ STRIDE = 16
 EDIT_SHARE = 16
 BAND = 64
 MIN_ITEM = 40
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 
 #: So much text is scanned at a time; arrays of eight bytes per byte are held for it.
 SCAN_BYTES = 1 << 20
@@ -91,7 +92,9 @@ def _key(eight: np.ndarray, four: np.ndarray) -> np.ndarray:
 
 
 class Passage(NamedTuple):
+    #: The number of the item in its block.
     item: int
+    start: int
     text: np.ndarray
     edits: int
     window: bool = False
@@ -101,38 +104,46 @@ class Passage(NamedTuple):
         return max(1, len(self.text) + 1 - Q * (self.edits + 1))
 
 
+def item_bytes(text: bytes) -> bytes:
+    """An item as it is looked for; empty if it is too short."""
+    body = folded(np.frombuffer(text, np.uint8))[0].tobytes().strip()
+    return body if len(body) >= Q else b""
+
+
 def passages(item: int, text: bytes) -> list[Passage]:
-    body, _ = folded(np.frombuffer(text, np.uint8))
-    body = np.frombuffer(body.tobytes().strip(), np.uint8)
+    body = np.frombuffer(item_bytes(text), np.uint8)
     if len(body) < MIN_ITEM:
-        return [Passage(item, body, 0)] if len(body) >= Q else []
+        return [Passage(item, 0, body, 0)] if len(body) >= Q else []
     starts = [*range(0, len(body) - PASSAGE, PASSAGE // 2), max(0, len(body) - PASSAGE)]
-    cut = [body[s : s + PASSAGE] for s in starts]
-    found = [Passage(item, x, len(x) // EDIT_SHARE) for x in cut]
+    size = min(len(body), PASSAGE)
+    found = [Passage(item, s, body[s : s + size], size // EDIT_SHARE) for s in starts]
     if len(body) > WINDOW:
         starts = [*range(0, len(body) - WINDOW, STRIDE), len(body) - WINDOW]
-        found += [Passage(item, body[s : s + WINDOW], WINDOW // EDIT_SHARE, True) for s in starts]
+        found += [Passage(item, s, body[s : s + WINDOW], WINDOW // EDIT_SHARE, True) for s in starts]
     return found
 
 
 class Index:
-    """The q-grams of a block of passages: a bit table, and sorted keys with their places."""
-
-    def __init__(self, found: list[Passage]):
-        self.passages = found
-        self.edits = np.array([p.edits for p in found], np.int64)
-        self.needed = np.array([p.needed for p in found], np.int64)
-        keys, owners, places = [], [], []
-        for number, passage in enumerate(found):
-            key = _key(*grams(passage.text))
-            keys.append(key)
-            owners.append(np.full(len(key), number))
-            places.append(np.arange(len(key)))
+    """The q-grams of a block of items: a bit table, and sorted keys with their places in the items, which stand one
+    after the other. The passages are sorted by their start there, whole ones and windows apart."""
+
+    def __init__(self, items: list[bytes]):
+        self.passages = [p for number, text in enumerate(items) for p in passages(number, text)]
+        bodies = [np.frombuffer(item_bytes(x), np.uint8) for x in items]
+        offsets = np.cumsum([0, *map(len, bodies)])
+        self.edits = np.array([p.edits for p in self.passages], np.int64)
+        self.needed = np.array([p.needed for p in self.passages], np.int64)
+        self.size = np.array([len(p.text) for p in self.passages], np.int64)
+        self.start = np.array([offsets[p.item] + p.start for p in self.passages], np.int64)
+        window = np.array([p.window for p in self.passages], bool)
+        self.kinds = [
+            at[np.argsort(self.start[at], kind="stable")] for at in (np.flatnonzero(~window), np.flatnonzero(window))
+        ]
+        keys = [_key(*grams(x)) for x in bodies]
         every = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        places = np.concatenate([o + np.arange(len(k)) for o, k in zip(offsets, keys)]) if keys else np.empty(0, np.int64)
         order = np.argsort(every, kind="stable")
-        every = every[order]
-        self.owner = np.concatenate(owners)[order] if keys else np.empty(0, np.int64)
-        self.place = np.concatenate(places)[order] if keys else np.empty(0, np.int64)
+        every, self.place = every[order], places[order].astype(np.int64)
         self.keys, self.first = np.unique(every, return_index=True)
         self.many = np.diff(np.append(self.first, len(every)))
         self.table = np.zeros(1 << _BITS, bool)
@@ -146,10 +157,24 @@ class Index:
         row[row == len(self.keys)] = 0
         same = self.keys[row] == key[at] if len(self.keys) else np.zeros(len(at), bool)
         at, row = at[same], row[same]
-        many = self.many[row]
-        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        source = np.repeat(self.first[row], many) + within
-        return np.repeat(at, many), self.owner[source], self.place[source]
+        source, many = _ranges(self.first[row], self.many[row])
+        at, spot = np.repeat(at, many), self.place[source]
+        found = []
+        for kind, longest in zip(self.kinds, (PASSAGE, WINDOW), strict=True):
+            starts = self.start[kind]
+            low = np.searchsorted(starts, spot - (longest - Q))
+            which, many = _ranges(low, np.searchsorted(starts, spot, side="right") - low)
+            owner, where = kind[which], np.repeat(spot, many)
+            place = where - self.start[owner]
+            inside = place + Q <= self.size[owner]  # passages of the item before may end earlier
+            found.append((np.repeat(at, many)[inside], owner[inside], place[inside]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _ranges(first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``many[i]`` numbers from ``first[i]`` on, for all i; and ``many``."""
+    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(first, many) + within, many
 
 
 def regions(index: Index, at: np.ndarray, owner: np.ndarray, place: np.ndarray):
@@ -231,21 +256,25 @@ def whole_words(passage: np.ndarray, text: np.ndarray, first: int, width: int):
     return None
 
 
-def blocks(items: DataFrame, item: str, text: str, limit: int):
-    """The items in order of id, as lists of passages of at most ``limit`` bytes each.
+class Block(NamedTuple):
+    ids: list
+    items: list[bytes]
 
-    Read through an iterator: the driver holds one block at a time.
-    """
-    held: list[Passage] = []
-    size = 0
+
+def blocks(items: DataFrame, item: str, text: str, limit: int):
+    """The items, whole, in blocks of about ``limit`` bytes. Read through an iterator: the driver holds one block at a
+    time."""
+    held, size = Block([], []), 0
     for row in items.select(item, text).orderBy(item).toLocalIterator():
-        for passage in passages(row[0], (row[1] or "").encode()):
-            held.append(passage)
-            size += len(passage.text)
-            if size >= limit:
-                yield held
-                held, size = [], 0
-    if held:
+        body = item_bytes((row[1] or "").encode())
+        if body:
+            held.ids.append(row[0])
+            held.items.append(body)
+            size += len(body)
+        if size >= limit:
+            yield held
+            held, size = Block([], []), 0
+    if held.items:
         yield held
 
 
@@ -269,14 +298,15 @@ def hits(
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches, sent=sent):
-            index = Index(sent.value)
+            index = Index(sent.value.items)
             for batch in slices(batches, "__text", SCAN_BYTES):
                 out: dict[str, list] = {c: [] for c in ("id", "item", "edits", "start", "end")}
                 ids = batch.column(0)
                 texts = as_bytes(batch.column(1))
-                for row, found in scanned(index, texts):
+                for row, (number, *found) in scanned(index, texts):
                     out["id"].append(row)
-                    for name, value in zip(("item", "edits", "start", "end"), found, strict=True):
+                    out["item"].append(sent.value.ids[number])
+                    for name, value in zip(("edits", "start", "end"), found, strict=True):
                         out[name].append(value)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -354,7 +384,7 @@ def clean(
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def keep(batches, sent=sent):
-            index = Index(sent.value)
+            index = Index(sent.value.items)
             for batch in slices(batches, text, SCAN_BYTES):
                 bad = {row for row, _ in scanned(index, as_bytes(batch.column(text)))}
                 yield batch.filter(pa.array([row not in bad for row in range(batch.num_rows)]))

@@ -74,9 +74,12 @@ def test_finds_every_passage_within_its_budget_and_no_other(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute(items, rows)
     assert len(want) > 20
-    for limit in (1 << 20, 300):
+    seen = []
+    for limit in (1 << 20, 600, 1):
         got = D.hits(docs, bench, block_bytes=limit).collect()
         assert {(r["doc_id"], r["item_id"]) for r in got} == want
+        seen.append(sorted(map(tuple, got)))
+    assert seen[0] == seen[1] == seen[2] and len(got) == len(want)
     bad = {k for k, _ in want}
     assert {r["doc_id"] for r in D.clean(docs, bench).collect()} == {k for k, _ in rows} - bad
     texts = dict(rows)
@@ -103,13 +106,39 @@ def test_excerpts_of_79_bytes_are_found_wherever_they_start():
     words = "".join(rng.choice("abcdefghij    ") for _ in range(500))
     for size in (90, 128, 235, 394):
         item = fold(words)[:size].strip()
-        index = D.Index(D.passages(1, item))
+        index = D.Index([item])
         texts = [b"before " + item[at : at + 79] + b" after" for at in range(len(item) - 78)]
         assert {row for row, _ in D.scanned(index, texts)} == set(range(len(texts)))
 
 
+def test_index_gives_each_passage_its_grams():
+    rng = random.Random(3)
+    items = ["".join(rng.choice("ab c") for _ in range(n)).encode() for n in (0, 5, 13, 39, 40, 64, 65, 128, 129, 400)]
+    index = D.Index(items)
+    text = fold(b" ".join(reversed(items)).decode())
+    got = set(zip(*(x.tolist() for x in index.lookup(np.frombuffer(text, np.uint8))), strict=True))
+    want = {
+        (at, number, place)
+        for number, p in enumerate(index.passages)
+        for place in range(len(p.text) - D.Q + 1)
+        for at in range(len(text) - D.Q + 1)
+        if text[at : at + D.Q] == p.text[place : place + D.Q].tobytes()
+    }
+    assert got == want and len(want) > 500
+
+
+def test_an_item_of_several_passages_gives_one_hit(spark):
+    rng = random.Random(9)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400))
+    docs = spark.createDataFrame([(1, "before " + item + " after"), (2, item[500:900])], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (7, item), (8, "other " * 60)], "item_id long, text string")
+    for limit in (1 << 20, 2000, 50):
+        got = sorted((r["doc_id"], r["item_id"]) for r in D.hits(docs, bench, block_bytes=limit).collect())
+        assert got == [(1, 7), (1, 7), (2, 7), (2, 7)]  # a hit for each row of the repeated item
+
+
 def test_short_items_are_found_whole_and_as_words():
-    index = D.Index([*D.passages(1, b"Who wrote Emma?"), *D.passages(2, b"Yes.")])
+    index = D.Index([b"", b"Who wrote Emma?", b"Yes."])
     texts = [b"ask: who  wrote EMMA, then", b"who wrote emma", b"who wrote emmas", b"xwho wrote emma who wrote emma", b"yes", b"who wrote"]
     assert [row for row, (item, *_) in D.scanned(index, texts) if item == 1] == [0, 1, 3]
     assert not [row for row, (item, *_) in D.scanned(index, texts) if item == 2]
