@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tessera import scratch
 from tessera.llm.texts import hexed, per_row, whole_text
 from tessera.operators.components import stars
+from tessera.operators.keyed import first_per_key, spread_group
 
 SEED = 42
 BLOCK = 1 << 16
@@ -246,30 +247,50 @@ def links(distinct: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
     )
 
 
-def near_duplicates(
-    docs: DataFrame, shingle_words: int = 4, distance: int = 4, text: str = "text", doc: str = "doc_id",
-    carry: tuple[str, ...] = (),
+def _members(
+    docs: DataFrame, shingle_words: int, distance: int, text: str, doc: str, carry: tuple[str, ...]
 ) -> DataFrame:
-    """``(doc, *carry, fp, component_id)``: the least id among all documents linked, over any number of steps."""
+    """``(doc, *carry, fp, root, component_id)`` of each row; ``root`` is a fingerprint that tells the component."""
     made = scratch.materialise(fingerprints(docs, shingle_words, text, doc, carry), "fingerprints")
     first = scratch.materialise(made.groupBy("fp").agg(F.min(doc).alias("__first")), "distinct-fingerprints")
     found = stars(links(first.select("fp"), distance)).select(F.col("child").alias("fp"), "parent")
     rooted = first.join(found, "fp", "left").withColumn("__root", F.coalesce("parent", "fp"))
     least = rooted.groupBy(F.xxhash64("__root").alias("__spread"), "__root").agg(F.min("__first").alias("component_id"))
-    members = rooted.select("fp", "__root").join(least.drop("__spread"), "__root").select("fp", "component_id")
-    return made.join(members, "fp").select(doc, *carry, "fp", "component_id")
+    members = rooted.select("fp", "__root").join(least.drop("__spread"), "__root")
+    return made.join(members, "fp").select(doc, *carry, "fp", F.col("__root").alias("root"), "component_id")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle_words: int = 4, distance: int = 4, text: str = "text", doc: str = "doc_id",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(doc, *carry, fp, component_id)``: the least id among all documents linked, over any number of steps."""
+    return _members(docs, shingle_words, distance, text, doc, carry).drop("root")
 
 
 def representatives(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
-    """The rows with the least id of their own component, with all columns. Each text of an id is judged by
-    its own component; repeated rows stay as often as they occur, and rows without an id are never dropped."""
-    told = ("__text64", "__text32")  # texts of one id are told apart by 96 bits
-    text = whole_text()
-    marked = docs.withColumns({told[0]: F.xxhash64(text), told[1]: F.crc32(text.cast("binary"))})
-    found = near_duplicates(marked, shingle_words, distance, carry=told)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id", *told).distinct()
-    named = marked.where(F.col("doc_id").isNotNull()).join(kept, ["doc_id", *told], "left_semi")
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component, with all columns: the one with the least id, ids before null. Of rows with that
+    id the one whose text has the least hash stays, and of rows with the same text any one. Components without any
+    id keep a row too."""
+    # Ids and texts as keys without nulls; texts of one id are told apart by 96 bits.
+    text, key = whole_text(), ["__none", "__id", "__text64", "__text32"]
+    marked = docs.withColumns({
+        "__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        "__text64": F.xxhash64(text), "__text32": F.crc32(text.cast("binary")),
+    })
+    found = scratch.materialise(
+        _members(marked, shingle_words, distance, "text", "doc_id", tuple(key)).drop("fp", "component_id"), "members"
+    )
+    least = found.groupBy("root").agg(
+        F.min(F.struct("__none", "doc_id", "__text64", "__text32", "__id")).alias("one")
+    ).select("one.*")
+    repeats = spread_group(found, key, F.count(F.lit(1)).alias("__rows"))
+    kept = scratch.materialise(least.drop("doc_id").join(repeats, key), "representatives")
+    rows = marked.join(kept, key)
+    # Only rows that occur several times have to meet again; each task sends one of them at most.
+    once = rows.where(F.col("__rows") == 1)
+    again = first_per_key(rows.where(F.col("__rows") > 1), key, [F.col("__rows")])
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 
 def with_hex(found: DataFrame) -> DataFrame:
