@@ -25,13 +25,13 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import scratch
 from tessera.llm.texts import hexed, per_row, whole_text
 from tessera.operators.components import stars
-from tessera.operators.keyed import first_per_key, spread_group
+from tessera.operators.keyed import spread_group
 
 SEED = 42
 BLOCK = 1 << 16
@@ -287,9 +287,11 @@ def representatives(docs: DataFrame, shingle_words: int = 4, distance: int = 4)
     repeats = spread_group(found, key, F.count(F.lit(1)).alias("__rows"))
     kept = scratch.materialise(least.drop("doc_id").join(repeats, key), "representatives")
     rows = marked.join(kept, key)
-    # Only rows that occur several times have to meet again; each task sends one of them at most.
+    # Only rows that occur several times have to meet again; each task sends one of them at most. Both parts read
+    # the same shuffle of the documents.
     once = rows.where(F.col("__rows") == 1)
-    again = first_per_key(rows.where(F.col("__rows") > 1), key, [F.col("__rows")])
+    copies = Window.partitionBy(F.xxhash64(*key), *key).orderBy("__rows")
+    again = rows.where(F.col("__rows") > 1).withColumn("__rank", F.row_number().over(copies)).where(F.col("__rank") == 1)
     return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 
