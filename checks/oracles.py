@@ -328,6 +328,25 @@ def oracles() -> dict[str, str]:
         "dim_locations": "SELECT * FROM locations",
         "persons_load": "SELECT * FROM persons",
         "persons_rejected": _REJECTED,
+        "broken_rows_rejected": """faults AS (SELECT *, ord % 50 AS fault FROM fused),
+            checked AS (SELECT *, CASE fault WHEN 1 THEN 'long last_name' WHEN 2 THEN 'missing email' END AS rule FROM faults),
+            claimed AS (SELECT *, CASE WHEN rule IS NULL THEN row_number() OVER (
+              PARTITION BY email, rule IS NULL ORDER BY ord) END AS claim_no FROM checked),
+            judged AS (SELECT *, coalesce(rule, CASE WHEN claim_no > 1 THEN 'duplicate email' END) AS person FROM claimed),
+            nets_in AS (SELECT *, CASE WHEN fault = 3 THEN 'invalid ip_address' WHEN person IS NOT NULL THEN 'unknown person'
+              END AS net_rule FROM judged),
+            nets_no AS (SELECT *, CASE WHEN net_rule IS NULL THEN row_number() OVER (
+              PARTITION BY IPv4, net_rule IS NULL ORDER BY ord) END AS net_no FROM nets_in),
+            found AS (
+              SELECT 'locations' AS target, ord, passport, CASE fault WHEN 5 THEN 'long address' END AS violated FROM judged
+              UNION ALL SELECT 'persons', ord, passport, person FROM judged
+              UNION ALL SELECT 'bank_data', ord, passport, CASE WHEN fault = 4 THEN 'long iban'
+                WHEN person IS NOT NULL THEN 'unknown person' END FROM judged
+              UNION ALL SELECT 'network_data', ord, passport,
+                coalesce(net_rule, CASE WHEN net_no > 1 THEN 'duplicate ip_address' END) FROM nets_no
+              UNION ALL SELECT 'professional_data', ord, passport, CASE WHEN fault = 6 THEN 'missing company_name'
+                WHEN person IS NOT NULL THEN 'unknown person' END FROM judged)
+            SELECT * FROM found WHERE violated IS NOT NULL""",
         "bank_load": "SELECT * FROM bank_data",
         "network_load": "SELECT * FROM network_data",
         "professional_load": "SELECT * FROM professional_data",

@@ -191,6 +191,18 @@ def upsert_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.tables["persons"]
 
 
+def broken_rows_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load refuses of persons with too long, empty and wrong values."""
+    fused = _fused(spark, sf_dir)
+    fault = F.col("ord") % 50
+    wrong = {
+        "last_name": (1, F.repeat(F.lit("x"), 101)), "email": (2, F.lit("")), "IPv4": (3, F.lit("10.0.0.256")),
+        "IBAN": (4, F.repeat(F.lit("9"), 35)), "address": (5, F.repeat(F.lit("y"), 256)), "company": (6, F.lit("")),
+    }
+    broken = fused.withColumns({c: F.when(fault == n, value).otherwise(F.col(c)) for c, (n, value) in wrong.items()})
+    return warehouse.load_warehouse(broken).rejected
+
+
 def persons_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.pruned_json(serve.persons_by(_load(spark, sf_dir).tables))
 
@@ -452,6 +464,7 @@ def queries() -> dict[str, Query]:
         "bank_load": _table("bank_data"),
         "network_load": _table("network_data"),
         "professional_load": _table("professional_data"),
+        "broken_rows_rejected": broken_rows_rejected,
         "upsert_persons": upsert_persons,
         "facet_cities": lambda s, d: serve.facet(_load(s, d).tables["locations"], "city"),
         "facet_jobs": lambda s, d: serve.facet(_load(s, d).tables["professional_data"], "job_title"),

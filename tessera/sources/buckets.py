@@ -17,6 +17,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera import scratch
 
@@ -112,6 +113,20 @@ def commit(spark: SparkSession, root: str, version: int, tables: dict[str, Table
     _write_text(spark, name, root, f"version={version}", _MARKER)
 
 
+def pending(note: dict, batches: list[int]) -> list[int]:
+    """The batches that a version does not have yet, by its note."""
+    through, beyond = note.get("through", -1), set(note.get("beyond", []))
+    return [b for b in batches if b > through and b not in beyond]
+
+
+def noted(note: dict, taken: list[int]) -> dict:
+    """The note with more batches: all up to one, and some beyond it."""
+    through, beyond = note.get("through", -1), set(note.get("beyond", [])) | set(taken)
+    while through + 1 in beyond:
+        through += 1
+    return {"through": through, "beyond": sorted(b for b in beyond if b > through)}
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -158,7 +173,7 @@ def _written(df: DataFrame, root: str, name: str, keys: list[str], ddl: str, buc
 
 
 def _columns(ddl: str) -> list[str]:
-    return [f"`{c.strip().split()[0].strip('`')}`" for c in ddl.split(",")]
+    return [f"`{c}`" for c in StructType.fromDDL(ddl).names]
 
 
 def replaced(keys: list[str]) -> Combine:

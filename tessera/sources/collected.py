@@ -58,16 +58,7 @@ def _combine(kind: str) -> buckets.Combine:
 def unfolded(spark: SparkSession, store: str) -> list[int]:
     """The batches that are written in full and not part of the base."""
     note = buckets.load(spark, f"{store}/base", buckets.latest(spark, f"{store}/base")).note
-    through, beyond = note.get("through", -1), set(note.get("beyond", []))
-    return [b for b in raw.batches(spark, f"{store}/fragments") if b > through and b not in beyond]
-
-
-def _noted(note: dict, folded: list[int]) -> dict:
-    """Which batches are in the base: all up to one, and some beyond it."""
-    through, beyond = note.get("through", -1), set(note.get("beyond", [])) | set(folded)
-    while through + 1 in beyond:
-        through += 1
-    return {"through": through, "beyond": sorted(b for b in beyond if b > through)}
+    return buckets.pending(note, raw.batches(spark, f"{store}/fragments"))
 
 
 def fold(spark: SparkSession, store: str) -> int | None:
@@ -85,7 +76,7 @@ def fold(spark: SparkSession, store: str) -> int | None:
             changes, root, kind, [_key(kind)], _ddl(kind), held.tables.get(kind), _combine(kind)
         )
     version = 0 if last is None else last + 1
-    buckets.commit(spark, root, version, tables, _noted(held.note, new))
+    buckets.commit(spark, root, version, tables, buckets.noted(held.note, new))
     return version
 
 

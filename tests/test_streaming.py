@@ -4,7 +4,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.sources import audit, files, messages, observations, raw
+from tessera.operators.metrics import panes
+from tessera.sources import audit, buckets, files, messages, observations, raw
 from tessera.streaming import dedup, ingest, jobs
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -211,6 +212,36 @@ def test_rolling_mean_stream(spark, tmp_path):
     assert rows == [(0, s, 3.0) for s in (10, 20, 30, 40, 50, 60)] + [(4, s, 9.0) for s in (10, 20, 30, 40, 50, 60)]
 
 
+def test_folded_panes_give_the_same_means(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", 20)
+    path = str(tmp_path / "panes")
+    start = int(START.timestamp())
+    rows = [(start + 97 * i, f"m{i % 2}", float(i)) for i in range(300)]
+
+    def put_panes(batch):
+        df = spark.createDataFrame([r for i, r in enumerate(rows) if i % 4 == batch], "at long, metric string, value double")
+        summed = panes(df.withColumn("ts", F.timestamp_seconds("at")), "ts", "metric", "value")
+        summed.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+
+    def means(**options):
+        found = jobs.rolling_means(spark, path, **options).collect()
+        return {(r.metric, r.window_end): (r.total, r.observations) for r in found}
+
+    for batch in range(4):
+        put_panes(batch)
+    before = means()
+    assert jobs.fold_panes(spark, path) == 0 and means() == before
+    put_panes(1)  # written again after it was folded
+    assert jobs.fold_panes(spark, path) == 0 and means() == before
+    since = datetime.fromtimestamp(rows[280][0])
+    until = since + timedelta(minutes=20)
+    assert means(since=since) == {k: v for k, v in before.items() if k[1] >= since}
+    recent = means(since=since, until=until)
+    assert recent == {k: v for k, v in before.items() if since <= k[1] <= until} and recent
+    read = len(jobs.rolling_means(spark, path, since, until).inputFiles())
+    assert 0 < read < len(jobs.rolling_means(spark, path).inputFiles())
+
+
 def test_recurring_job_sees_each_batch(spark, tmp_path):
     incoming, seen = str(tmp_path / "in"), []
     put(spark, incoming, [(1, 0, "x"), (2, 0, "y")])
