@@ -8,12 +8,17 @@ A window is ``unit.window`` neighbouring units (bytes or words) of one text. The
    are one row with its places.
 3. ``_searched``: an anchor's segments meet in one task, which gathers small blocks of them and has
    ``search`` find the windows they share. Blocks and all arrays over them are bounded.
-4. An anchor with more than ``BLOCK_BYTES`` of different segments does not go through ``search`` there. Its
-   segments are cut again by a longer gram, whose anchors are searched in a second round. Where even
-   these are too many, ``_windows`` compares windows one by one, by hashes of 128 bits, in sorted order.
+4. An anchor with more than ``BLOCK_BYTES`` of different segments is not searched there. Each of its different
+   segments counts as a text of the next round, which cuts it by a longer gram (``_grams``); its places stay
+   as one row each. Windows that share a gram differ in what is left of the window beside it, a quarter
+   of the round before, so each round has a fraction of the windows. Those of the last round are compared
+   by hashes of 128 bits.
+5. ``_resolved``: what a round found in a segment is joined back to the places of the segment, from the last
+   round to the first.
 
 Equal texts take part once, under the least id and the number of their copies. Texts are told apart by
-96 bits of hashes. Nothing depends on the order of rows, and every task can be run again.
+96 bits of hashes, segments of large anchors by 128. Nothing depends on the order of rows, and every task
+can be run again.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from typing import Any, NamedTuple, Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,26 +161,27 @@ def _anchored(rows: DataFrame, unit: Unit, parts: int) -> DataFrame:
 
 class Piece(NamedTuple):
     """A segment: its bytes, the least id and the number (up to 2) of texts that hold it, and its
-    places ``(k, first unit, id)``."""
+    places ``(k, crc, first unit, id)``."""
 
     data: bytes
     least: int
     copies: int
-    places: list[tuple[int, int, int]]
+    places: list[tuple[int, int, int, int]]
 
 
 #: Gets the different segments of a block, by anchor; yields per segment ``(start, length, least)`` runs
 #: of windows to report, counted in units from the segment's begin.
 Search = Callable[[list[Piece]], Iterable[list[tuple[int, int, int]]]]
 
-#: Places of one anchor that are held at once; beyond that its windows are compared one by one.
+#: Places of one anchor that are held at once; beyond that its different segments go to the next round.
 MOST_PLACES = 1 << 17
 
-_PLACE = "struct<k:long,pos:int,own:long>"
+_PLACE = "struct<k:long,crc:long,pos:int,own:long>"
+_PLACES = pa.list_(pa.struct([("k", pa.int64()), ("crc", pa.int64()), ("pos", pa.int32()), ("own", pa.int64())]))
 
 
 def _pieces(texts: DataFrame, unit: Unit) -> DataFrame:
-    """Rows ``(anchor, data, least, copies, places)`` from rows ``(text, k, ords, least, copies)``."""
+    """Rows ``(anchor, data, least, copies, places)`` from rows ``(text, k, crc, ords, least, copies)``."""
 
     def make(batches):
         for batch in slices(batches, "text", SCAN_BYTES):
@@ -182,7 +189,7 @@ def _pieces(texts: DataFrame, unit: Unit) -> DataFrame:
             cut = unit.cut(raw)
             found = cut_segments(unit, cut)
             ord_ = np.arange(len(found.row)) - np.searchsorted(found.row, found.row)
-            ks, least, copies = (batch.column(c).to_pylist() for c in ("k", "least", "copies"))
+            ks, crcs, least, copies = (batch.column(c).to_pylist() for c in ("k", "crc", "least", "copies"))
             wanted = [
                 np.isin(ord_[a:b], np.array(ords, np.int64))
                 for ords, a, b in zip(
@@ -202,19 +209,18 @@ def _pieces(texts: DataFrame, unit: Unit) -> DataFrame:
                 held = seen.setdefault((anchor, data[x:y]), [least[row], 0, []])
                 held[0] = min(held[0], least[row])
                 held[1] += copies[row]
-                held[2].append({"k": ks[row], "pos": pos, "own": least[row]})
+                held[2].append({"k": ks[row], "crc": crcs[row], "pos": pos, "own": least[row]})
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x for x, _ in seen], pa.int64()), pa.array([x for _, x in seen], pa.binary()),
                     pa.array([x[0] for x in seen.values()], pa.int64()),
                     pa.array([min(2, x[1]) for x in seen.values()], pa.int32()),
-                    pa.array([x[2] for x in seen.values()],
-                             pa.list_(pa.struct([("k", pa.int64()), ("pos", pa.int32()), ("own", pa.int64())]))),
+                    pa.array([x[2] for x in seen.values()], _PLACES),
                 ],
                 names=["anchor", "data", "least", "copies", "places"],
             )
 
-    return texts.select("text", "k", "ords", "least", "copies").mapInArrow(
+    return texts.select("text", "k", "crc", "ords", "least", "copies").mapInArrow(
         make, f"anchor long, data binary, least long, copies int, places array<{_PLACE}>"
     )
 
@@ -224,13 +230,29 @@ def _bounds(row: np.ndarray, n: int) -> tuple[list[int], list[int]]:
     return edges[:-1], edges[1:]
 
 
-_FOUND = "route long, h long, least long, copies int, k long, pos int, n int, data binary"
+#: Rows of three kinds, in texts of round ``level`` (from round 1 on, ``(k, crc)`` names a segment of the round before):
+#: a run of ``n`` windows from ``pos``; with ``s``, a place of the segment ``(s, t)`` of a large anchor, its id in
+#: ``least``; with ``anchor``, a segment to be searched, or in the last round a window by its hashes ``anchor`` and ``t``.
+_FOUND = (
+    "level int, k long, crc long, pos int, n int, least long, s long, t long, copies int, anchor long, data binary"
+)
 _KINDS = [
-    ("route", pa.int64()), ("h", pa.int64()), ("least", pa.int64()), ("copies", pa.int32()), ("k", pa.int64()),
-    ("pos", pa.int32()), ("n", pa.int32()), ("data", pa.binary()),
+    ("level", pa.int32()), ("k", pa.int64()), ("crc", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()),
+    ("least", pa.int64()), ("s", pa.int64()), ("t", pa.int64()), ("copies", pa.int32()), ("anchor", pa.int64()),
+    ("data", pa.binary()),
 ]
 
 
+def _grams(unit: Unit) -> list[int]:
+    """The grams of the rounds; after these, windows are compared whole."""
+    grams = [unit.gram]
+    for _ in range(2):
+        longer = unit.window - (unit.window - grams[-1]) // 4
+        if grams[-1] < longer < unit.window:
+            grams.append(longer)
+    return grams
+
+
 class _Rows:
     """Rows of ``_FOUND`` to be handed out as a batch."""
 
@@ -255,23 +277,25 @@ class _Rows:
 
 
 class _Blocks:
-    """Gathers whole anchors to blocks for ``search``; hands the pieces of too large ones to ``apart``."""
+    """Gathers whole anchors to blocks for ``search``; cuts the segments of too large ones for the next round.
+    Equal segments come one after the other."""
 
-    def __init__(self, unit: Unit, search: Search, limit: int, apart: Callable[[Piece, _Rows], None]):
-        self.unit, self.search, self.limit, self.apart = unit, search, limit, apart
+    def __init__(self, unit: Unit, search: Search, limit: int, level: int):
+        self.unit, self.search, self.limit, self.level = unit, search, limit, level
         self.out = _Rows()
         self.block: dict[bytes, Piece] = {}
         self.group: dict[bytes, Piece] = {}  # the anchor being read
         self.size = self.group_size = self.group_places = 0
         self.current: Any = None
         self.large = False
+        self.apart: Piece | None = None  # the segment of a large anchor being read, without its places
 
     def add(self, anchor: int, piece: Piece) -> None:
         if anchor != self.current:
             self._next_anchor()
             self.current = anchor
         if self.large:
-            self.apart(piece, self.out)
+            self._apart(piece)
             return
         held = self.group.get(piece.data)
         if held is None:
@@ -286,10 +310,11 @@ class _Blocks:
         self.group_places += len(piece.places)
         if self.group_size > self.limit and len(self.group) > 1 or self.group_places > MOST_PLACES:
             for held in self.group.values():
-                self.apart(held, self.out)
+                self._apart(held)
             self.group, self.group_size, self.large = {}, 0, True
 
     def _next_anchor(self) -> None:
+        self._cut()
         if self.size + self.group_size > self.limit:
             self._search()
         # Segments of different anchors have no window in common, so none is equal.
@@ -301,134 +326,153 @@ class _Blocks:
         pieces = list(self.block.values())
         for piece, runs in zip(pieces, self.search(pieces), strict=True):
             for start, n, least in runs:
-                for k, pos, own in piece.places:
-                    if least < own or not self.unit.directed:
-                        self.out.add(k, 0, least, 0, k, pos + start, n, None)
+                for k, crc, pos, own in piece.places:
+                    if self.level or least < own or not self.unit.directed:
+                        self.out.add(self.level, k, crc, pos + start, n, least, None, None, None, None, None)
         self.block, self.size = {}, 0
 
-    def finish(self) -> None:
-        self._next_anchor()
-        self._search()
-
-
-def _cut_again(unit: Unit) -> Callable[[Piece, _Rows], None]:
-    """The second round's segments of a piece, each as a row with its bytes; ``h`` tells them from windows."""
-    gram = (unit.gram + unit.window + 1) // 2
-
-    def apart(piece: Piece, out: _Rows) -> None:
-        cut = unit.cut([piece.data])
-        found = cut_segments(unit, cut, gram)
-        data = cut.data.tobytes()
+    def _apart(self, piece: Piece) -> None:
+        held = self.apart
+        if held is not None and held.data == piece.data:
+            self.apart = Piece(held.data, min(held.least, piece.least), min(2, held.copies + piece.copies), [])
+        else:
+            self._cut()
+            self.apart = piece._replace(places=[])
+        s, t = _name(piece.data)
+        for k, crc, pos, own in piece.places:
+            self.out.add(self.level, k, crc, pos, 0, own, s, t, None, None, None)
+
+    def _cut(self) -> None:
+        """The segment set apart as a text of the next round."""
+        if self.apart is None:
+            return
+        piece, self.apart = self.apart, None
+        k, crc = _name(piece.data)
+        cut = self.unit.cut([piece.data])
+        grams, level = _grams(self.unit), self.level + 1
+        if level == len(grams):
+            first = Prefix(cut.hashes).grams(self.unit.window).view(np.int64).tolist()
+            other = Prefix(cut.hashes * np.uint64(0xC2B2AE3D27D4EB4F) ^ (cut.hashes >> np.uint64(7)))
+            second = other.grams(self.unit.window).view(np.int64).tolist()
+            for pos, (a, b) in enumerate(zip(first, second, strict=True)):
+                self.out.add(level, k, crc, pos, 0, piece.least, None, b, piece.copies, a, None)
+            return
+        found = cut_segments(self.unit, cut, grams[level])
         for first, last, anchor in zip(
             found.first.tolist(), found.last.tolist(), found.anchor.view(np.int64).tolist(), strict=True
         ):
-            part = data[int(cut.starts[first]) : int(cut.ends[last + unit.window - 1])]
-            for k, pos, own in piece.places:
-                out.add(anchor, 0, own, piece.copies, k, pos + first, 0, part)
-
-    return apart
-
+            part = piece.data[int(cut.starts[first]) : int(cut.ends[last + self.unit.window - 1])]
+            self.out.add(level, k, crc, first, 0, piece.least, None, None, piece.copies, anchor, part)
 
-def _one_by_one(unit: Unit) -> Callable[[Piece, _Rows], None]:
-    """Each window of a piece as a row of its own, under a hash of 128 bits."""
+    def finish(self) -> None:
+        self._next_anchor()
+        self._search()
 
-    def apart(piece: Piece, out: _Rows) -> None:
-        cut = unit.cut([piece.data])
-        first = Prefix(cut.hashes).grams(unit.window).view(np.int64).tolist()
-        other = Prefix(cut.hashes * np.uint64(0xC2B2AE3D27D4EB4F) ^ (cut.hashes >> np.uint64(7)))
-        for start, (a, b) in enumerate(zip(first, other.grams(unit.window).view(np.int64).tolist(), strict=True)):
-            for k, pos, own in piece.places:
-                out.add(a, b, own, piece.copies, k, pos + start, 0, None)
 
-    return apart
+def _name(data: bytes) -> tuple[int, int]:
+    digest = xxhash.xxh3_128_digest(data)
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
 def _searched(pieces: DataFrame, unit: Unit, search: Search, parts: int, block_bytes: int) -> DataFrame:
-    """Rows of ``_FOUND``: a run of ``n`` windows from ``pos`` of text ``k``; or, with ``n`` 0, one window of an
-    anchor that is too large in both rounds, by its hashes ``route`` and ``h``."""
+    """Rows of ``_FOUND``, from all rounds: runs and places."""
 
     def first_round(batches):
-        blocks = _Blocks(unit, search, block_bytes, _cut_again(unit))
+        blocks = _Blocks(unit, search, block_bytes, 0)
         for batch in batches:
             columns = (batch.column(i).to_pylist() for i in range(5))
             for anchor, data, least, copies, places in zip(*columns, strict=True):
-                blocks.add(anchor, Piece(data, least, copies, [(p["k"], p["pos"], p["own"]) for p in places]))
-                if blocks.out.full():
-                    yield blocks.out.batch()
-        blocks.finish()
-        yield blocks.out.batch()
-
-    def second_round(batches):
-        blocks = _Blocks(unit, search, block_bytes, _one_by_one(unit))
-        for batch in batches:
-            again = pc.equal(batch.column("n"), 0)
-            yield batch.filter(pc.invert(again))  # runs pass
-            rows = batch.filter(again)
-            for route, _, own, copies, k, pos, _, data in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                blocks.add(route, Piece(data, own, copies, [(k, pos, own)]))
+                held = [(p["k"], p["crc"], p["pos"], p["own"]) for p in places]
+                blocks.add(anchor, Piece(data, least, copies, held))
                 if blocks.out.full():
                     yield blocks.out.batch()
         blocks.finish()
         yield blocks.out.batch()
 
-    return (
-        pieces.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(first_round, _FOUND)
-        .repartition(parts, "route").sortWithinPartitions("route").mapInArrow(second_round, _FOUND)
-        .drop("data")
-    )
-
-
-def _windows(found: DataFrame, unit: Unit, parts: int) -> DataFrame:
-    """``(k, runs)``: the runs of each text, and single windows that occur twice or more, or that also
-    start in a text with a smaller id."""
-
-    def run(batches):
-        texts: list[tuple[int, list[tuple[int, int, int]]]] = []
-        window = held = least = None
-
-        def report(k: int, pos: int, n: int, low: int) -> None:
-            if texts and texts[-1][0] == k:
-                runs = texts[-1][1]
-                if runs[-1][2] == low and runs[-1][0] + runs[-1][1] == pos:
-                    runs[-1] = (runs[-1][0], runs[-1][1] + n, low)
-                else:
-                    runs.append((pos, n, low))
-            else:
-                texts.append((k, [(pos, n, low)]))
-
-        def batch_of(rows) -> pa.RecordBatch:
-            kind = pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32()), ("least", pa.int64())]))
-            runs = [[{"pos": a, "n": b, "least": c} for a, b, c in x] for _, x in rows]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in rows], pa.int64()), pa.array(runs, kind)], names=["k", "runs"]
-            )
-
+    def later_round(level: int):
+        def run(batches):
+            blocks = _Blocks(unit, search, block_bytes, level)
+            for batch in batches:
+                mine = batch.column("anchor").is_valid()
+                yield batch.filter(pc.invert(mine))
+                rows = batch.filter(mine)
+                wanted = ("anchor", "data", "least", "copies", "k", "crc", "pos")
+                for anchor, data, least, copies, *place in zip(*(rows.column(c).to_pylist() for c in wanted), strict=True):
+                    blocks.add(anchor, Piece(data, least, copies, [(*place, least)]))
+                    if blocks.out.full():
+                        yield blocks.out.batch()
+            blocks.finish()
+            yield blocks.out.batch()
+
+        return run
+
+    def last_round(batches):
+        # Of equal windows the first row has the least id; it waits for a second row.
+        window = least = held = None
+        level = len(_grams(unit))
         for batch in batches:
-            for route, h, low, copies, k, pos, n in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if n:
-                    report(k, pos, n, low)
-                elif (route, h) != window:
-                    # The first row of a window has the least id of all; it waits for a second row.
-                    window, least, held = (route, h), low, (k, pos, 1, low)
-                    if copies > 1 and not unit.directed:
-                        report(*held)
-                        held = None
-                else:
-                    if held and not unit.directed:
-                        report(*held)
-                        held = None
-                    if least < low or not unit.directed:
-                        report(k, pos, 1, least)
-            if len(texts) > 1:
-                yield batch_of(texts[:-1])
-                del texts[:-1]
-        yield batch_of(texts)
-
-    return (
-        found.repartition(parts, "route").sortWithinPartitions("route", "h", "least", "pos")
-        .mapInArrow(run, "k long, runs array<struct<pos:int,n:int,least:long>>")
-        .groupBy("k").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    )
+            mine = batch.column("anchor").is_valid()
+            yield batch.filter(pc.invert(mine))
+            rows, out = batch.filter(mine), _Rows()
+            wanted = ("anchor", "t", "least", "copies", "k", "crc", "pos")
+            for a, b, low, copies, *place in zip(*(rows.column(c).to_pylist() for c in wanted), strict=True):
+                if (a, b) != window:
+                    window, least, held = (a, b), low, None
+                    if copies < 2:
+                        held = place
+                        continue
+                elif held is not None:
+                    out.add(level, *held, 1, least, None, None, None, None, None)
+                    held = None
+                out.add(level, *place, 1, least, None, None, None, None, None)
+            yield out.batch()
+
+    found = pieces.repartition(parts, "anchor").sortWithinPartitions("anchor", "data").mapInArrow(first_round, _FOUND)
+    for level in range(1, len(_grams(unit)) + 1):
+        last = level == len(_grams(unit))
+        order = ("anchor", "t", "least") if last else ("anchor", "data")
+        found = (
+            found.repartition(parts, F.coalesce("anchor", "k")).sortWithinPartitions(*order)
+            .mapInArrow(last_round if last else later_round(level), _FOUND)
+        )
+    return found
+
+
+def _resolved(found: DataFrame, unit: Unit, parts: int) -> DataFrame:
+    """``(k, crc, pos, n, least)``: the runs of round 0, and those of later rounds at the places of their segments."""
+
+    def back(level: int):
+        def run(batches):
+            segment, runs = None, []
+            for batch in batches:
+                place = pc.and_(pc.equal(batch.column("level"), level), batch.column("s").is_valid())
+                mine = pc.or_(place, pc.equal(batch.column("level"), level + 1))
+                yield batch.filter(pc.invert(mine))
+                rows, out = batch.filter(mine), _Rows()
+                wanted = ("k", "crc", "pos", "n", "least", "s", "t")
+                for k, crc, pos, n, least, s, t in zip(*(rows.column(c).to_pylist() for c in wanted), strict=True):
+                    if n:  # the runs of a segment come before its places
+                        if (k, crc) != segment:
+                            segment, runs = (k, crc), []
+                        runs.append((pos, n, least))
+                    elif (s, t) == segment:
+                        for start, m, low in runs:
+                            if level or low < least or not unit.directed:
+                                out.add(level, k, crc, pos + start, m, low, None, None, None, None, None)
+                        if out.full():
+                            yield out.batch()
+                yield out.batch()
+
+        return run
+
+    for level in range(len(_grams(unit)) - 1, -1, -1):
+        place = (F.col("level") == level) & F.col("s").isNotNull()
+        first, second = F.when(place, F.col("s")).otherwise(F.col("k")), F.when(place, F.col("t")).otherwise(F.col("crc"))
+        found = (
+            found.repartition(parts, first).sortWithinPartitions(first, second, place, "pos")
+            .mapInArrow(back(level), _FOUND)
+        )
+    return found.select("k", "crc", "pos", "n", "least")
 
 
 def shared_windows(
@@ -443,8 +487,12 @@ def shared_windows(
         rows.join(wanted, ["k", "crc"])
         # Not as an equality: that would become a join key, and the shuffle of texts one of its own.
         .where((F.col("doc") <= F.col("first")) | F.col("first").isNull())
-        .select("text", "k", "ords", F.coalesce("first", F.lit((1 << 63) - 1)).alias("least"), "copies")
+        .select("text", "k", "crc", "ords", F.coalesce("first", F.lit((1 << 63) - 1)).alias("least"), "copies")
     )
     found = _searched(_pieces(chosen, unit), unit, search, parts, block_bytes)
+    runs = (
+        _resolved(found, unit, parts)
+        .groupBy("k", "crc").agg(F.collect_list(F.struct("pos", "n", "least")).alias("runs"))
+    )
     # One join with the texts, by the same keys as above, so that their shuffle is used again.
-    return rows.join(texts.join(_windows(found, unit, parts), "k", "left"), ["k", "crc"])
+    return rows.join(texts.join(runs, ["k", "crc"], "left"), ["k", "crc"])

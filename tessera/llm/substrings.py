@@ -129,7 +129,7 @@ def search(pieces: list[Piece], length: int) -> list[list[tuple[int, int, int]]]
     np.minimum.at(lowest, interval[whole], least[whole])
     value = least.copy()
     value[whole] = np.minimum(least[whole], lowest[interval[whole]])
-    shown = (value < least) | np.array([len(p.places) > 1 for p in pieces])[owner]
+    shown = (value < least) | np.array([p.copies > 1 for p in pieces])[owner]
     kept = np.flatnonzero(shown)
     found: list[list[tuple[int, int, int]]] = [[] for _ in pieces]
     if len(kept):
