@@ -454,6 +454,7 @@ def oracles() -> dict[str, str]:
         "last_status": """SELECT user_id, arg_max(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END,
             {'ts': ts, 'event_id': event_id}) AS status FROM events GROUP BY user_id""",
         "roundtrip_json": "SELECT * FROM incomplete",
+        "roundtrip_json_array": "SELECT * FROM incomplete",
         "roundtrip_csv": f"""{_components('records', 'record_id', _STRONG_KEYS)},
             people AS (SELECT {', '.join(f'arg_max({f}, record_id) AS {f}' for f in _FIELDS)}
               FROM records JOIN labels ON id = record_id GROUP BY component)

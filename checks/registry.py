@@ -415,6 +415,14 @@ def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_records(spark, path, ddl)
 
 
+def roundtrip_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    incomplete = _incomplete(spark, sf_dir)
+    path = scratch.new_path(spark, "incomplete-json-array")
+    files.write_json_arrays(incomplete, path)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in incomplete.schema)
+    return files.read_records(spark, path, ddl, array=True)
+
+
 def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.new_path(spark, "people-csv")
     header = files.write_csv(group_records(spark, sf_dir), path)
@@ -506,6 +514,7 @@ def queries() -> dict[str, Query]:
         "step_counters": step_counters,
         "last_status": last_status,
         "roundtrip_json": roundtrip_json,
+        "roundtrip_json_array": roundtrip_json_array,
         "roundtrip_csv": roundtrip_csv,
         "roundtrip_raw": roundtrip_raw,
         "roundtrip_warehouse": roundtrip_warehouse,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans.resolve import flatten
+from tessera.sources import arrays
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -41,6 +43,21 @@ def read_csv(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, ddl: str, array: bool = False) -> DataFrame:
-    """Records by a given schema. ``array`` is for files that are one JSON array each: such a file
-    is read by one task, lines are split."""
-    return spark.read.schema(ddl).option("multiLine", array).json(path)
+    """Records by a given schema. ``array`` is for files that are one JSON array each."""
+    return arrays.read_array(spark, path, ddl) if array else spark.read.schema(ddl).json(path)
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """One array per file, one file per partition; a null field is an absent key."""
+
+    def framed(batches):
+        before = "["
+        for batch in batches:
+            values = [before + x if i == 0 else "," + x for i, x in enumerate(batch.column(0).to_pylist())]
+            if values:
+                yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
+                before = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if before == "[" else "]"])], names=["value"])
+
+    lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+    lines.mapInArrow(framed, "value string").write.mode("overwrite").text(path)
