@@ -42,6 +42,15 @@ def test_long_texts_stay_linear():
         assert pii.spans(text, pii.trained([]))[0] == [pii.Span(*s) for s in brute(text)]
 
 
+def test_long_runs_of_digits_beside_points_stay_linear():
+    long = "1" * 400_000
+    assert pii.base_spans(long + " 1.2.3") == []
+    assert pii.base_spans("1.2.3." + long) == []
+    assert pii.base_spans((long + ".") * 3) == []
+    assert [(s.start, s.end) for s in pii.base_spans(long + " 10.0.0.1")] == [(400_001, 400_009)]
+    assert [tuple(s) for s in pii.base_spans("1.2.3.4.5.6.7.8.999.1.1.1.1")] == brute("1.2.3.4.5.6.7.8.999.1.1.1.1")
+
+
 def test_labelers_are_weighed_and_candidates_added(spark):
     rows = []
     for k in range(60):
