@@ -1,16 +1,16 @@
 """Toxicity by weak supervision: many lexicon and pattern voters, a label model, a linear classifier.
 
 1. Voters are words and word beginnings that occur far more often in texts labelled toxic; a likelihood
-   ratio decides, against the number of patterns tried. They vote "toxic" or abstain; one more
-   voter says "clean" where no pattern occurs. Labels come from ``TRAIN_ROWS`` rows at most, never
+   ratio decides, against the number of patterns tried. Patterns of the same texts are one voter from the start, and
+   all that pass the test are kept. They vote "toxic" or abstain; one more voter says "clean" where no pattern occurs. Labels come from ``TRAIN_ROWS`` rows at most, never
    from held-out ones (crc32 of the id modulo 3 is 1).
 2. The label model estimates by expectation-maximisation how often each voter is right, and from the
    votes how far voters depend on each other: patterns that nearly always fire together are one voter, and
    the say of a voter is divided by its correlated company.
    The counts of step 1 are the prior.
 3. A logistic classifier over the voters is trained on the posterior labels, not on the given ones.
-4. Every whole text is scored in Spark with the voters and weights, whose number is bounded by
-   ``MOST_VOTERS``.
+4. Every whole text is scored in Spark with the voters and weights. Their number is bounded by the sample: a voter
+   is a set of its texts, and has to occur in several.
 
 Scores depend on the text alone. Defined cases: a null or empty text is scored like one without any
 pattern; rows with a null id are not held out and never used for training; repeated labels of a
@@ -33,7 +33,6 @@ from tessera.llm.texts import as_bytes, per_row, slices, whole_text
 
 #: Bounds of the sample of labelled rows, by label; taken by hash of the id.
 TRAIN_ROWS = {1: 6_000, 0: 14_000}
-MOST_VOTERS = 400
 PREFIXES = range(3, 9)
 PREDICT_AT = 0.7
 
@@ -83,27 +82,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, bounds: dict[int, int] | N
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """``(pattern, toxic, clean)``: in how many training texts each pattern occurs."""
+    """``(pattern, toxic, clean, texts)``: in how many training texts each pattern occurs, and in which: the
+    exclusive or of their keys."""
 
     def count(batches):
         for batch in slices(batches, "text"):
             found = (Counter(), Counter())
-            for raw, toxic in zip(as_bytes(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
-                found[toxic].update({p for w in set(_WORD.findall(raw.decode().lower())) for p in patterns(w)})
-            every = list(found[0] | found[1])
+            texts: dict[str, int] = {}
+            marks = zip(*(batch.column(c).to_pylist() for c in ("k", "toxic")), strict=True)
+            for raw, (key, toxic) in zip(as_bytes(batch.column("text")), marks, strict=True):
+                own = {p for w in set(_WORD.findall(raw.decode().lower())) for p in patterns(w)}
+                found[toxic].update(own)
+                for p in own:
+                    texts[p] = texts.get(p, 0) ^ key
+            every = list(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every, pa.string())] + [pa.array([found[k][p] for p in every], pa.int64()) for k in (1, 0)],
-                names=["pattern", "toxic", "clean"],
+                [pa.array(every, pa.string())] + [pa.array([found[k][p] for p in every], pa.int64()) for k in (1, 0)]
+                + [pa.array(list(texts.values()), pa.int64())],
+                names=["pattern", "toxic", "clean", "texts"],
             )
 
     return (
-        rows.select("text", "toxic").mapInArrow(count, "pattern string, toxic long, clean long")
-        .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        rows.select("k", "text", "toxic").mapInArrow(count, "pattern string, toxic long, clean long, texts long")
+        .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_xor("texts").alias("texts"))
     )
 
 
-def selected(counts: DataFrame, toxic: int, clean: int, most: int = MOST_VOTERS) -> list[tuple[str, int, int]]:
-    """The patterns whose likelihood ratio beats the best that chance would give among so many."""
+def selected(counts: DataFrame, toxic: int, clean: int) -> list[tuple[list[str], int, int]]:
+    """The patterns whose likelihood ratio beats the best that chance would give among so many; those that occur in
+    the same texts together, the shortest first."""
     tried = counts.where(F.col("toxic") + F.col("clean") > 1).count()
     every, t, c = toxic + clean, F.col("toxic"), F.col("clean")
     rate = F.lit(toxic / every)
@@ -113,12 +120,14 @@ def selected(counts: DataFrame, toxic: int, clean: int, most: int = MOST_VOTERS)
 
     n = t + c
     ratio = 2 * (term(t, n * rate) + term(c, n * (1 - rate)))
+    named = F.struct(F.length("pattern").alias("length"), "pattern")
     rows = (
         counts.where((t > 1) & (t / n >= LEAST_SHARE)).withColumn("ratio", ratio)
         .where(F.col("ratio") > 2 * np.log(max(2, tried)))
-        .orderBy(F.desc("ratio"), F.length("pattern"), "pattern").limit(most).collect()
+        .groupBy("texts", "toxic", "clean").agg(F.max("ratio").alias("ratio"), F.sort_array(F.collect_list(named)).alias("own"))
+        .orderBy(F.desc("ratio"), "own").collect()
     )
-    return [(r["pattern"], r["toxic"], r["clean"]) for r in rows]
+    return [([o["pattern"] for o in r["own"]], r["toxic"], r["clean"]) for r in rows]
 
 
 def hits(text: str, voters: dict[str, int], cache: dict[str, tuple[int, ...]]) -> list[int]:
@@ -241,9 +250,9 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model | None:
         found = selected(counted(rows), number[1], number[0])
         if not found:
             return None
-        voters = {p: k for k, (p, _, _) in enumerate(found)}
+        voters = {p: k for k, (own, _, _) in enumerate(found) for p in own}
         fired, toxic = vote_rows(rows, voters)
-        x = matrix(fired, len(voters))
+        x = matrix(fired, len(found))
         voter = merged(x)
         first = np.unique(voter, return_index=True)[1]
         x = np.stack([x[:, voter == v].max(axis=1) for v in range(len(first))], axis=1)

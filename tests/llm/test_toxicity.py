@@ -51,6 +51,26 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark):
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
 
 
+def test_all_patterns_that_pass_are_kept_and_variants_are_one(spark):
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(5)) for _ in range(460)})
+    texts = []
+    for _ in range(14):
+        rng.shuffle(words)
+        texts += [(" ".join(words[k:k + 10]), 1) for k in range(0, len(words), 10)]
+    texts += [(f"plain {k} text of nothing", 0) for k in range(len(texts))]
+    rows = spark.createDataFrame(texts, "text string, toxic int").select(F.xxhash64("text").alias("k"), "text", "toxic")
+    found = toxicity.selected(toxicity.counted(rows.repartition(5)), len(texts) // 2, len(texts) // 2)
+    owner = {p: k for k, (own, _, _) in enumerate(found) for p in own}
+    assert set(words) <= set(owner) and len({owner[w] for w in words}) == len(words) > 400
+    bearing = {}
+    for text, _ in texts:
+        for p in {p for w in text.split() for p in toxicity.patterns(w)}:
+            bearing.setdefault(p, set()).add(text)
+    assert all(len({frozenset(bearing[p]) for p in own}) == 1 for own, _, _ in found)
+    assert len({frozenset(bearing[own[0]]) for own, _, _ in found}) == len(found)
+
+
 def test_label_model_recovers_accuracies():
     rng = np.random.default_rng(3)
     truth = rng.random(6000) < 0.3
