@@ -272,6 +272,7 @@ _WINDOW_ROWS = """SELECT metric, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS wi
 _SAME = {
     "ttl_dedup_split_keys": "ttl_dedup_null_keys",
     "ingest_one_pass": "ingest_metrics",
+    "grown_name_in_fullname": "name_in_fullname",
     "grown_people": "group_records_all_keys",
     "grown_people_by_value": "group_records_by_value",
 }

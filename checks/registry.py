@@ -14,7 +14,7 @@ from tessera.functions import udfs
 from tessera.functions.cleaning import clean
 from tessera.operators import metrics
 from tessera.operators.dedup import ttl_dedup
-from tessera.plans import fuse, people, resolve, serve, warehouse
+from tessera.plans import fuse, names, people, resolve, serve, warehouse
 from tessera.session import STATE_STORE
 from tessera.sources import audit, collected, files, messages, observations, raw, snapshots
 from tessera.streaming import ingest, jobs
@@ -155,6 +155,23 @@ def name_in_fullname(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.join(found, ["a", "b"]).select("ord", "location_ord")
 
 
+def grown_name_in_fullname(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``name_in_fullname``, from an index that takes in persons and locations in two batches, in opposite
+    orders, so that old and new names meet old and new texts."""
+    parts = {t: scratch.materialise(df, t) for t, df in _fragments(spark, sf_dir).items() if t in ("personal", "location")}
+    state = scratch.new_path(spark, "names")
+    for n in range(2):
+        names.advance(
+            fuse.name_pairs(parts["personal"].where(F.col("ord") % 2 == n)),
+            fuse.name_texts(parts["location"].where(F.pmod(F.xxhash64("ord"), F.lit(2)) == 1 - n)),
+            state, n, "location_ord",
+        )
+    people = parts["personal"].select(
+        "ord", fuse.fold(F.col("name")).alias("a"), fuse.fold(F.col("last_name")).alias("b")
+    )
+    return people.join(names.firsts(spark, state, "location_ord"), ["a", "b"]).select("ord", "location_ord")
+
+
 def completeness_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuse.completeness_totals(_everyone(spark, sf_dir))
 
@@ -485,6 +502,7 @@ def queries() -> dict[str, Query]:
         "components_incomplete": components_incomplete,
         "group_records": group_records,
         "group_records_all_keys": group_records_all_keys,
+        "grown_name_in_fullname": grown_name_in_fullname,
         "grown_people": _grown(schema.IDENTIFYING_KEYS),
         "grown_people_by_value": _grown(schema.IDENTIFYING_KEYS, "value"),
         "folded_collections": folded_collections,

@@ -46,20 +46,17 @@ def first_containing(
        what is left holds the pair, and the first text is a plain minimum. Pairs that nobody
        asked for are never made.
     """
-    words = pairs.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("a").alias("word"), F.lit(True).alias("is_a")),
-                F.struct(F.col("b").alias("word"), F.lit(False).alias("is_a")),
-            )
-        ).alias("w")
-    ).select("w.word", "w.is_a")
     vocabulary = scratch.materialise(
-        words.groupBy("word").agg(
-            F.max("is_a").alias("is_a"), F.max(~F.col("is_a")).alias("is_b")
-        ),
-        "vocabulary",
+        pairs.select(F.explode(F.array("a", "b")).alias("word")).distinct(), "vocabulary"
     )
+    distinct_texts = texts.where(F.col("text") != "").groupBy("text").agg(F.min(order).alias("first"))
+    found = scratch.materialise(words_in(vocabulary, distinct_texts, "first", prefix_rows), "found-words")
+    return first_of_pairs(pairs, found, "first").withColumnRenamed("first", order)
+
+
+def words_in(vocabulary: DataFrame, texts: DataFrame, order: str, prefix_rows: int = PREFIX_ROWS) -> DataFrame:
+    """``(word, text, order)``: the words of ``vocabulary`` that each of ``texts`` contains; both are distinct, and the
+    vocabulary should come from a file, as it is read several times."""
     prefix, start_sizes = _prefix_length(vocabulary, prefix_rows)
     start = min(START, prefix)
     starts = F.broadcast(
@@ -73,9 +70,8 @@ def first_containing(
         )
     )
 
-    distinct_texts = texts.where(F.col("text") != "").groupBy("text").agg(F.min(order).alias("first"))
-    places = distinct_texts.select(
-        "text", "first", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("pos")
+    places = texts.select(
+        "text", order, F.explode(F.sequence(F.lit(1), F.length("text"))).alias("pos")
     ).withColumn("ahead", F.expr(f"substring(text, pos, {prefix})"))
     # A substring that ends with the text is shorter than asked for, and then not of that size. The
     # empty word is looked up once per text, at its first character.
@@ -86,21 +82,23 @@ def first_containing(
         short.withColumn("start", F.expr("left(ahead, start_size)"))
         .where(F.length("start") == F.col("start_size"))
         .join(starts, "start")
-        .select("text", "first", "pos", "ahead", "start_size", F.explode("sizes").alias("size"))
+        .select("text", order, "pos", "ahead", "start_size", F.explode("sizes").alias("size"))
         .where(F.least("size", F.lit(start)) == F.col("start_size"))
     )
     candidates = (
         begun.withColumn("gram", F.expr("left(ahead, size)"))
         .where(F.length("gram") == F.col("size"))
         .join(prefixes, "gram")
-        .select("text", "first", "pos", "size", F.explode("lengths").alias("word_length"))
+        .select("text", order, "pos", "size", F.explode("lengths").alias("word_length"))
         .where(F.least("word_length", F.lit(prefix)) == F.col("size"))
         .where(F.col("word_length") <= F.length("text") - F.col("pos") + 1)
-        .select("text", "first", F.expr("substring(text, pos, word_length)").alias("word"))
-    )
-    found = scratch.materialise(
-        candidates.join(vocabulary.select("word"), "word").distinct(), "found-words"
+        .select("text", order, F.expr("substring(text, pos, word_length)").alias("word"))
     )
+    return candidates.join(vocabulary.select("word"), "word").distinct()
+
+
+def first_of_pairs(pairs: DataFrame, found: DataFrame, order: str) -> DataFrame:
+    """For each distinct pair the least ``order`` of a text that has both words, by the rows of ``words_in``."""
     texts_of = spread_group(found, ["word"], F.count(F.lit(1)).alias("n"))
     wanted = pairs.select("a", "b").distinct()
     wanted = (
@@ -113,4 +111,4 @@ def first_containing(
         F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("other"),
     )
     held = asked.join(found, "word").where(F.col("text").contains(F.col("other")))
-    return spread_group(held, ["a", "b"], F.min("first").alias(order))
+    return spread_group(held, ["a", "b"], F.min(order).alias(order))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera import scratch
 from tessera.functions.cleaning import clean
-from tessera.plans import fuse, resolve, warehouse
-from tessera.sources import audit, collected, files, observations, snapshots
+from tessera.plans import fuse, names, resolve, warehouse
+from tessera.sources import audit, buckets, collected, files, observations, snapshots
 
 _INCOMPLETE = ", ".join(f"{c} {'BIGINT' if c == 'ord' else 'STRING'}" for c in [*fuse.FUSED, "missing"])
 
@@ -21,7 +21,8 @@ def load(spark: SparkSession, store: str, root: str) -> int:
     refused rows next to the new warehouse version. Returns the version."""
     collected.fold(spark, store)
     parts = {t: clean(df) for t, df in collected.collections(spark, store).items()}
-    persons = scratch.materialise(fuse.all_persons(**parts), "all-persons")
+    located = first_locations(spark, f"{root}/names", parts["personal"], parts["location"])
+    persons = scratch.materialise(fuse.all_persons(**parts, located=located), "all-persons")
     result = warehouse.load_warehouse(
         fuse.complete(persons), snapshots.read_tables(spark, root), stored=True
     )
@@ -38,6 +39,15 @@ def load(spark: SparkSession, store: str, root: str) -> int:
     return version
 
 
+def first_locations(spark: SparkSession, root: str, personal: DataFrame, location: DataFrame) -> DataFrame:
+    """As ``fuse.first_locations``, with an index kept in ``root``: names and full names that loads before have seen cost a
+    lookup. Locations may get a lower ``ord`` from load to load, and none goes."""
+    version = buckets.latest(spark, root)
+    version = 0 if version is None else version + 1
+    names.advance(fuse.name_pairs(personal), fuse.name_texts(location), root, version, "location_ord")
+    return names.firsts(spark, root, "location_ord")
+
+
 def _log_load(spark: SparkSession, root: str, version: int) -> None:
     """One log entry per table, for the rows it has, and per reason, for the rows refused."""
     tables = snapshots.read_tables(spark, root)

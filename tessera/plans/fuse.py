@@ -23,15 +23,21 @@ FUSED = [
 ]
 
 
-def first_locations(personal: DataFrame, location: DataFrame) -> DataFrame:
-    """``(a, b, location_ord)``: the first location whose full name contains both names."""
-    pairs = personal.where(truthy(F.col("name")) & truthy(F.col("last_name"))).select(
+def name_pairs(personal: DataFrame) -> DataFrame:
+    """``(a, b)``: the names that are looked for."""
+    return personal.where(truthy(F.col("name")) & truthy(F.col("last_name"))).select(
         fold(F.col("name")).alias("a"), fold(F.col("last_name")).alias("b")
     )
-    texts = location.select(
-        F.lower("fullname").alias("text"), F.col("ord").alias("location_ord")
-    )
-    return first_containing(pairs, texts, "location_ord")
+
+
+def name_texts(location: DataFrame) -> DataFrame:
+    """``(text, location_ord)``: the full names that they are looked for in."""
+    return location.select(F.lower("fullname").alias("text"), F.col("ord").alias("location_ord"))
+
+
+def first_locations(personal: DataFrame, location: DataFrame) -> DataFrame:
+    """``(a, b, location_ord)``: the first location whose full name contains both names."""
+    return first_containing(name_pairs(personal), name_texts(location), "location_ord")
 
 
 def sites(location: DataFrame, professional: DataFrame, net: DataFrame, how: str) -> DataFrame:
@@ -62,6 +68,7 @@ def _match(
     bank: DataFrame,
     net: DataFrame,
     how: str,
+    located: DataFrame | None = None,
 ) -> DataFrame:
     accounts = first_per_key(bank, ["passport"], [F.asc("ord")]).select(
         "passport", "IBAN", "salary", F.lit(True).alias("has_bank")
@@ -72,8 +79,10 @@ def _match(
         F.when(named, fold(F.col("name"))).alias("a"),
         F.when(named, fold(F.col("last_name"))).alias("b"),
     )
+    if located is None:
+        located = first_locations(personal, location)
     return (
-        people.join(first_locations(personal, location), ["a", "b"], how)
+        people.join(located, ["a", "b"], how)
         .join(sites(location, professional, net, how), "location_ord", how)
         .join(accounts, "passport", how)
     )
@@ -97,12 +106,14 @@ def all_persons(
     professional: DataFrame,
     bank: DataFrame,
     net: DataFrame,
+    located: DataFrame | None = None,
 ) -> DataFrame:
     """Every person with what was found and ``missing``, the fragments that were not.
 
-    Without a location, neither professional nor net can be looked up: they are missing too.
+    Without a location, neither professional nor net can be looked up: they are missing too. ``located`` is what
+    ``first_locations`` gives, where that is kept from load to load (``names.py``).
     """
-    found = _match(personal, location, professional, bank, net, "left")
+    found = _match(personal, location, professional, bank, net, "left", located)
     has = {
         "location": F.col("location_ord").isNotNull(),
         "professional": F.col("has_professional").isNotNull(),
