@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,15 +29,53 @@ BUCKETS = 4096
 # Sweeps of a bucket in the time that an entry is kept.
 SWEEPS = 8
 
+# Parts of a bucket's state that are read and written as one; fixed for the life of a checkpoint.
+PAGES = 256
+
 _BUCKET = "__bucket"
+_PAGE = "__page"
 _AT = "__at"
 
 
+def _page(name: str | None) -> int:
+    """The page of a key in its bucket; the bucket comes from another hash."""
+    return 0 if pd.isna(name) else crc32(name.encode()) % PAGES
+
+
+class _Moments:
+    """The rows of a batch in order, without repeats of one moment. Rows come in chunks and in no order; chunks wait
+    until they are as many rows as are held, so that each row is sorted a few times, however many chunks there are."""
+
+    def __init__(self, key: str, ts: str, order: str):
+        self._key, self._ts, self._order = key, ts, order
+        self._waiting: list[pd.DataFrame] = []
+        self.rows = pd.DataFrame()
+
+    def add(self, chunk: pd.DataFrame) -> pd.DataFrame:
+        """Take in a chunk, and return the repeats of one moment that were found."""
+        self._waiting.append(chunk)
+        return self.settle() if sum(map(len, self._waiting)) >= len(self.rows) else chunk[:0]
+
+    def settle(self) -> pd.DataFrame:
+        if not self._waiting:
+            return self.rows[:0]
+        fresh = pd.concat(self._waiting)
+        self._waiting = []
+        at = fresh[self._ts].astype("datetime64[us]").astype("int64")
+        fresh = fresh.assign(**{_AT: at, _PAGE: [_page(name) for name in fresh[self._key].tolist()]})
+        every = pd.concat([self.rows, fresh]) if len(self.rows) else fresh
+        every = every.sort_values([_PAGE, self._key, _AT, self._order])
+        again = every.duplicated([self._key, _AT])
+        self.rows = every[~again]
+        return every[again]
+
+
 class TtlDedup(StatefulProcessor):
-    """Per bucket a map from key to its accepted times in microseconds.
+    """Per bucket, pages of keys with their accepted times in microseconds.
 
-    A batch looks up its own keys only, whatever the bucket holds. Entries more than ``keep_seconds``
-    behind the newest time of the bucket go in a sweep, once per ``keep_seconds / SWEEPS`` of new time.
+    A batch reads and writes the pages of its own keys, each once: a large batch makes no call per key, and a small one
+    touches a ``PAGES``-th of its bucket per key. Entries more than ``keep_seconds`` behind the newest time of the bucket
+    go in a sweep, once per ``keep_seconds / SWEEPS`` of new time.
     """
 
     def __init__(self, key: str, ts: str, order: str, ttl_seconds: int, keep_seconds: int, columns: list[str]):
@@ -43,51 +84,56 @@ class TtlDedup(StatefulProcessor):
         self._columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._accepted = handle.getMapState("accepted", "key STRING", "at ARRAY<BIGINT>")
+        self._accepted = handle.getMapState("accepted", "page BIGINT", "names ARRAY<STRING>, at ARRAY<ARRAY<BIGINT>>")
         self._swept = handle.getValueState("swept", "at BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Rows come in chunks and in no order. Repeats of one moment go chunk by chunk.
-        batch = pd.DataFrame()
+        moments = _Moments(self._key, self._ts, self._order)
         for chunk in rows:
-            batch, _ = self._distinct(batch, chunk)
-        accepted = batch[self._taken(batch)]
+            moments.add(chunk)
+        moments.settle()
+        accepted = moments.rows[self._taken(moments.rows)]
         if len(accepted):
             yield accepted[self._columns]
 
-    def _distinct(self, batch: pd.DataFrame, chunk: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-        """All rows so far, in order, without repeats of one moment; and those repeats."""
-        at = chunk[self._ts].astype("datetime64[us]").astype("int64")
-        every = pd.concat([batch, chunk.assign(**{_AT: at})]).sort_values([self._key, _AT, self._order])
-        again = every.duplicated([self._key, _AT])
-        return every[~again], every[again]
-
     def _taken(self, batch: pd.DataFrame) -> list[bool]:
-        """Which rows of the batch are accepted; the state learns of them."""
+        """Which rows of the batch, in its order, are accepted; the state learns of them."""
         if batch.empty:
             return []
         taken: list[bool] = []
-        for name, times in batch.groupby(self._key, sort=False, dropna=False)[_AT]:
-            # The state store has no null keys.
-            own = ("null" if pd.isna(name) else f"={name}",)
-            held = self._accepted.getValue(own)
-            before = list(held[0]) if held else []
-            free, after = self._fold(before, times.tolist())
-            taken += free
+        names = batch[self._key].astype(object).where(batch[self._key].notna(), None)
+        rows = zip(batch[_PAGE].tolist(), names.tolist(), batch[_AT].tolist(), strict=True)
+        for page, of_page in groupby(rows, itemgetter(0)):
+            held, free = self._held(page), []
+            for name, own in groupby(of_page, itemgetter(1)):
+                fresh, after = self._fold(held.get(name, []), [at for _, _, at in own])
+                free += fresh
+                if any(fresh):
+                    held[name] = after
             if any(free):
-                self._accepted.updateValue(own, (after,))
+                self._accepted.updateValue((page,), ([*held], [*held.values()]))
+            taken += free
         if any(taken):
             self._sweep(int(batch[_AT][taken].max()))
         return taken
 
+    def _held(self, page: int) -> dict[str | None, list[int]]:
+        found = self._accepted.getValue((page,))
+        return {name: list(at) for name, at in zip(*found, strict=True)} if found else {}
+
     def _sweep(self, newest: int) -> None:
         held = self._swept.get()
         if held is None:
             self._swept.update((newest,))
         elif newest - held[0] > self._keep // SWEEPS:
-            old = [key for key, (at,) in self._accepted.iterator() if max(at) <= newest - self._keep]
-            for key in old:
-                self._accepted.removeKey(key)
+            last = newest - self._keep
+            pages = [page for (page,), (_, at) in self._accepted.iterator() if any(max(one) <= last for one in at)]
+            for page in pages:
+                left = {name: at for name, at in self._held(page).items() if max(at) > last}
+                if left:
+                    self._accepted.updateValue((page,), ([*left], [*left.values()]))
+                else:
+                    self._accepted.removeKey((page,))
             self._swept.update((newest,))
 
     def _fold(self, accepted: list[int], times: list[int]) -> tuple[list[bool], list[int]]:
@@ -118,14 +164,17 @@ class TtlOutcomes(TtlDedup):
         return lean.assign(**{self._outcome: outcome})[self._columns]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.DataFrame()
+        moments = _Moments(self._key, self._ts, self._order)
         for chunk in rows:
             refused = chunk[self._outcome].notna()
             if refused.any():
                 yield chunk[refused][self._columns]
-            batch, again = self._distinct(batch, chunk[~refused])
+            again = moments.add(chunk[~refused])
             if len(again):
                 yield self._with(again, "repeat")
+        again, batch = moments.settle(), moments.rows
+        if len(again):
+            yield self._with(again, "repeat")
         taken = pd.Series(self._taken(batch), index=batch.index, dtype=bool)
         for outcome, rows_of in (("stored", batch[taken]), ("repeat", batch[~taken])):
             if len(rows_of):

@@ -1,6 +1,8 @@
 import json
 from datetime import datetime, timedelta, timezone
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,59 @@ def test_state_is_swept(spark, tmp_path):
     assert sorted(r.ord for r in out.collect()) == [0, 1, 2, 3]
 
 
+class Held:
+    """A state variable that counts the calls to it."""
+
+    def __init__(self):
+        self.entries, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.entries.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.entries[key] = value
+
+    def get(self):
+        return self.entries.get(())
+
+    def update(self, value):
+        self.entries[()] = value
+
+
+def test_state_is_read_and_written_by_the_page(monkeypatch):
+    monkeypatch.setattr(dedup, "PAGES", 8)
+    held = Held()
+    op = dedup.TtlDedup("key", "at", "ord", 10, 100, ["ord"])
+    op.init(SimpleNamespace(getMapState=lambda *_: held, getValueState=lambda *_: Held()))
+    keys = [*(f"k{n}" for n in range(5000)), None]
+    for batch, fresh in ((0, 5001), (1, 0), (2, 5001)):
+        rows = pd.DataFrame({
+            "ord": range(len(keys)), "key": keys, "at": pd.to_datetime([batch * 6] * len(keys), unit="s"),
+        })
+        held.calls = 0
+        out = list(op.handleInputRows((0,), iter([rows[n : n + 100] for n in range(0, len(rows), 100)]), None))
+        assert sum(map(len, out)) == fresh
+        assert held.calls <= 16
+
+
+def test_chunks_are_sorted_a_few_times(monkeypatch):
+    """However many chunks a batch comes in, each row is sorted as often as the held rows double."""
+    sorted_rows = []
+    sort = pd.DataFrame.sort_values
+    monkeypatch.setattr(pd.DataFrame, "sort_values", lambda df, *a, **k: sorted_rows.append(len(df)) or sort(df, *a, **k))
+    op = dedup.TtlDedup("key", "at", "ord", 10, 100, ["ord"])
+    op.init(SimpleNamespace(getMapState=lambda *_: Held(), getValueState=lambda *_: Held()))
+    n = 4000
+    rows = pd.DataFrame({
+        "ord": range(n), "key": [f"k{k}" for k in range(n)], "at": pd.to_datetime([0] * n, unit="s"),
+    })
+    out = list(op.handleInputRows((0,), iter([rows[k : k + 10] for k in range(0, n, 10)]), None))
+    assert sum(map(len, out)) == n
+    assert sum(sorted_rows) <= 4 * n
+
+
 def test_fold_holds_times_apart():
     op = dedup.TtlDedup("key", "at", "ord", 10, 100, ["ord"])
     s = 1_000_000
