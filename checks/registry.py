@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.oracles import STORED_PERSONS
@@ -26,6 +26,9 @@ FIELDS = raw.FIELDS
 # A test has few shuffle partitions, and so few buckets.
 LOCAL_BUCKETS = 64
 
+# As many files per batch as there are.
+ALL_FILES = 1 << 30
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -78,35 +81,43 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _in_files(spark: SparkSession, df: DataFrame, label: str, part) -> str:
-    """Write ``df`` as three files, one per value (0, 1, 2) of ``part``, in that order of arrival."""
+def _in_thirds(spark: SparkSession, df: DataFrame, label: str, part: Column, order: str) -> Iterator[str]:
+    """Append ``df`` to a folder in three parts, by the value (0, 1, 2) of ``part``, each in files of even size. The folder
+    is given after each, for a stream to go on with: a part is one batch, however many files it has."""
     path = scratch.new_path(spark, label)
     for n in range(3):
-        df.where(part == n).coalesce(1).write.mode("append").parquet(path)
-    return path
+        df.where(part == n).repartition(F.col(order)).write.mode("append").parquet(path)
+        yield path
+
+
+def _message_streams(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The same stream three times: of events, then with orders, then with customers."""
+    every = spark_view(spark, sf_dir, "fx_messages")
+    for incoming in _in_thirds(spark, every, "messages", F.expr(_SOURCE), "ord"):
+        yield messages.file_messages(spark, incoming, max_files_per_trigger=ALL_FILES)
 
 
 # Messages by their source: events, orders, customers.
 _SOURCE = "CASE WHEN ord >= 2000000000 THEN 0 WHEN ord >= 1000000000 THEN 1 ELSE 2 END"
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in three batches, each of which covers the whole time."""
+def _event_streams(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The same stream three times, each with a third more of the events; every third covers the whole time."""
     events = _events(spark, sf_dir)
-    path = _in_files(spark, events, "events", F.col("event_id") % 3)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for path in _in_thirds(spark, events, "events", F.col("event_id") % 3, "event_id"):
+        yield spark.readStream.schema(events.schema).option("maxFilesPerTrigger", ALL_FILES).parquet(path)
 
 
-def _drain(stream: DataFrame, label: str) -> DataFrame:
-    """Run a stream over all that is there and read back what it wrote."""
-    spark = stream.sparkSession
+def _drain(spark: SparkSession, streams: Iterable[DataFrame], label: str) -> DataFrame:
+    """Run a stream each time that there is more of it, and read back what it wrote."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    path = scratch.new_path(spark, label)
-    (
-        stream.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", scratch.new_path(spark, f"{label}-checkpoint"))
-        .trigger(availableNow=True).start().awaitTermination()
-    )
+    path, checkpoint = scratch.new_path(spark, label), scratch.new_path(spark, f"{label}-checkpoint")
+    for stream in streams:
+        (
+            stream.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -180,11 +191,9 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the running ingest observed over three batches, in total per metric."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     store, checkpoint = scratch.new_path(spark, "store"), scratch.new_path(spark, "checkpoint")
-    every = spark_view(spark, sf_dir, "fx_messages")
-    incoming = _in_files(spark, every, "messages", F.expr(_SOURCE))
-    source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
-    ingest.ingest(source, store, checkpoint, buckets=LOCAL_BUCKETS).awaitTermination()
-    ingest.audit_batches(source, store, checkpoint).awaitTermination()
+    for source in _message_streams(spark, sf_dir):
+        ingest.ingest(source, store, checkpoint, buckets=LOCAL_BUCKETS).awaitTermination()
+        ingest.audit_batches(source, store, checkpoint).awaitTermination()
     seen = observations.read(spark, f"{store}/metrics")
     return seen.groupBy("metric").agg(F.sum("value").alias("total"))
 
@@ -192,11 +201,9 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``ingest_metrics``, from the query that reads the source once."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    store = scratch.new_path(spark, "store")
-    every = spark_view(spark, sf_dir, "fx_messages")
-    incoming = _in_files(spark, every, "messages", F.expr(_SOURCE))
-    source = messages.file_messages(spark, incoming, max_files_per_trigger=1)
-    ingest.ingest_all(source, store, scratch.new_path(spark, "checkpoint"), buckets=LOCAL_BUCKETS).awaitTermination()
+    store, checkpoint = scratch.new_path(spark, "store"), scratch.new_path(spark, "checkpoint")
+    for source in _message_streams(spark, sf_dir):
+        ingest.ingest_all(source, store, checkpoint, buckets=LOCAL_BUCKETS).awaitTermination()
     seen = observations.read(spark, f"{store}/metrics").where(~F.col("metric").endswith(" seconds"))
     return seen.groupBy("metric").agg(F.sum("value").alias("total"))
 
@@ -285,27 +292,24 @@ def ttl_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _event_stream(spark, sf_dir).select(
-        "event_id", "ts", "user_id", "event_type",
-        F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key"),
-    )
+    key = F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key")
     # The files reach back over all of a month, so accepted times are kept for longer than that.
-    accepted = ttl_dedup_stream(
-        events, "key", "ts", "event_id", keep_seconds=60 * 86_400, buckets=LOCAL_BUCKETS
+    accepted = (
+        ttl_dedup_stream(
+            events.select("event_id", "ts", "user_id", "event_type", key), "key", "ts", "event_id",
+            keep_seconds=60 * 86_400, buckets=LOCAL_BUCKETS,
+        )
+        for events in _event_streams(spark, sf_dir)
     )
-    return _accepted_events(_drain(accepted, "accepted-events"))
+    return _accepted_events(_drain(spark, accepted, "accepted-events"))
 
 
 def stream_raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five collections after a stream of three files: events, then orders, then customers."""
+    """All five collections after a stream of three batches: events, then orders, then customers."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    store = scratch.new_path(spark, "store")
-    every = spark_view(spark, sf_dir, "fx_messages")
-    incoming = _in_files(spark, every, "messages", F.expr(_SOURCE))
-    ingest.ingest(
-        messages.file_messages(spark, incoming, max_files_per_trigger=1), store,
-        scratch.new_path(spark, "checkpoint"), buckets=LOCAL_BUCKETS,
-    ).awaitTermination()
+    store, checkpoint = scratch.new_path(spark, "store"), scratch.new_path(spark, "checkpoint")
+    for source in _message_streams(spark, sf_dir):
+        ingest.ingest(source, store, checkpoint, buckets=LOCAL_BUCKETS).awaitTermination()
     return _all_of(raw.collections(spark, f"{store}/fragments"), "fragment_type")
 
 
@@ -392,11 +396,9 @@ def rolling_mean_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch.new_path(spark, "panes")
-    jobs.rolling_mean_stream(
-        _event_stream(spark, sf_dir), "ts", "event_type", "value", path,
-        scratch.new_path(spark, "panes-checkpoint"),
-    ).awaitTermination()
+    path, checkpoint = scratch.new_path(spark, "panes"), scratch.new_path(spark, "panes-checkpoint")
+    for events in _event_streams(spark, sf_dir):
+        jobs.rolling_mean_stream(events, "ts", "event_type", "value", path, checkpoint).awaitTermination()
     return _window_rows(jobs.rolling_means(spark, path).withColumnRenamed("metric", "event_type"))
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from tessera.operators.metrics import panes
 from tessera.sources import audit, buckets, files, messages, observations, raw
 from tessera.streaming import dedup, ingest, jobs
@@ -335,3 +336,16 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
     assert header == ["location_city", "personal_name"]
     rows = files.read_csv(spark, str(tmp_path / "csv"), header).collect()
     assert sorted(map(tuple, rows)) == [(" x", 'a "quoted", \nline '), ("y\\", None)]
+
+
+def test_a_third_is_one_batch_of_many_files(spark, tmp_path):
+    df = spark.range(600_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    seen, tasks = [], []
+    for path in registry._in_thirds(spark, df, "thirds", F.col("id") % 3, "id"):
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", registry.ALL_FILES).parquet(path)
+        stream.writeStream.foreachBatch(
+            lambda rows, n: seen.append((n, rows.count(), rows.agg(F.min(F.col("id") % 3), F.max(F.col("id") % 3)).first()))
+        ).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+        tasks.append(len(spark.read.parquet(path).inputFiles()))
+    assert [(n, rows, *thirds) for n, rows, thirds in seen] == [(n, 200_000, n, n) for n in range(3)]
+    assert tasks[0] > 1 and tasks[2] > 3
