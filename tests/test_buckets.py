@@ -191,3 +191,20 @@ def test_a_batch_reads_what_it_touches(spark, tmp_path, small_buckets, monkeypat
     monkeypatch.undo()
     full = resolve.group_records(spark.createDataFrame(first + later, ddl), "id", fields, fields)
     same_rows(people.people(spark, root, fields), full)
+
+
+def test_a_batch_of_one_type_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(0, 80_000, 1, 1).select(
+        F.col("id").alias("ord"), F.lit(None).cast("timestamp").alias("ingest_ts"),
+        F.to_json(F.struct(F.sha2(F.col("id").cast("string"), 256).alias("x"))).alias("value"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "200k")
+    try:
+        raw.write_batch(messages.storable(messages.decode(rows)), str(tmp_path / "fragments"), 0)
+    finally:
+        spark.conf.unset(size)
+    stored = raw.read_fragments(spark, str(tmp_path / "fragments"))
+    assert stored.where("fragment_type = 'unknown'").count() == 80_000
+    per_file = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) > 3 and max(per_file) < 40_000
