@@ -97,6 +97,49 @@ def test_long_and_periodic_texts(spark):
     assert sorted(map(tuple, substrings.digests(frame(spark, rows)).collect()), key=str) == brute_words(rows, 13)
 
 
+def periodic(rng, docs):
+    line = "the same short line "
+    return [(i, rng.randbytes(30).hex() + line * rng.randrange(60, 90) + rng.randbytes(30).hex()) for i in range(docs)]
+
+
+@pytest.mark.parametrize("make,unit,brute,length", [
+    (suffixes, repeats.Bytes, brute_bytes, 400), (substrings, repeats.Words, brute_words, 13)
+])
+@pytest.mark.parametrize("places", [1 << 17, 3])
+def test_periodic_texts_of_large_anchors_take_few_rows(spark, monkeypatch, make, unit, brute, length, places):
+    """Texts that repeat one line: as many rows as texts ask for, not as windows, and the same result."""
+    rows = periodic(random.Random(8), 40) + [(100, "a" * 5000), (101, "b" + "a" * 6000), (102, "a " * 1500)]
+    monkeypatch.setattr(repeats, "MOST_PLACES", places)
+    monkeypatch.setattr(repeats, "_ROW_PLACES", 50)
+    found, original = [], repeats._searched
+    monkeypatch.setattr(repeats, "_searched", lambda *a: found.append(original(*a)) or found[0])
+    got = make.digests(frame(spark, rows), block_bytes=3000).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, length)
+    kinds = found[0].groupBy("level", F.col("n") > 0).count().collect()
+    assert any(r["level"] for r in kinds)  # anchors were large
+    assert sum(r["count"] for r in kinds) < {400: 6000, 13: 4000}[length], kinds
+
+
+def test_segments_of_one_text_hold_each_window_once():
+    rng = np.random.default_rng(9)
+    unit = repeats.Bytes(40)
+    for text in (b"ab" * 200, b"a" * 300, rng.integers(97, 99, 500).astype(np.uint8).tobytes() + b"xyz" * 60, b"short"):
+        for gram in (3, 30, 40):
+            seen, held = [], {}
+            for (anchor, data), at in repeats._pieces_of(unit, unit.cut([text]), gram).items():
+                n = len(data) - 39
+                assert 0 < n <= 40 - gram + 1
+                for pos in at:
+                    assert text[pos : pos + len(data)] == data
+                    seen += range(pos, pos + n)
+                assert all(held.setdefault(data[i : i + 40], anchor) == anchor for i in range(n))
+            assert sorted(seen) == list(range(max(0, len(text) - 39)))
+
+
+def test_touching_runs_of_one_id_are_one():
+    assert repeats._joined([(7, 2, 1), (0, 3, 1), (3, 4, 1), (20, 1, 1), (21, 2, 2)]) == [(0, 9, 1), (20, 1, 1), (21, 2, 2)]
+
+
 def test_texts_that_stay(spark, rows):
     docs = frame(spark, rows)
     for r in substrings.deduplicated(docs).collect():
